@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import charforms, leakage, lines, packing
+from . import boilerplate, charforms, encoding, leakage, lines, packing, residue
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,39 @@ def p1_clean(spark: SparkSession, folder: str) -> DataFrame:
     return lines.without_repeated_lines(table(spark, folder, "discovered_pages"), "dpage_id", "domain")
 
 
+def _site(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.site_rows(table(spark, folder, "pages"), table(spark, folder, "discovered_pages"))
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _site(spark, folder)
+    return residue.residue_rows(rows, residue.fit(rows)).select("src", "row_id")
+
+
+def p3_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _site(spark, folder)
+    return residue.residue_rows(rows, residue.fit(rows))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _site(spark, folder)
+    return boilerplate.main_lines(rows, residue.fit(rows))
+
+
+def p4_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _site(spark, folder)
+    return boilerplate.main_bodies(rows, residue.fit(rows))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p5_restored(spark, folder).select("src", "row_id")
+
+
+def p5_restored(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _site(spark, folder)
+    return encoding.damaged_rows(rows, residue.fit(rows))
+
+
 def p6_pack(spark: SparkSession, folder: str) -> DataFrame:
     docs, limits = table(spark, folder, "documents"), table(spark, folder, "pack_limits")
     packed = packing.pack(packing.token_counts(docs, "doc_id", "source"), limits)
@@ -41,7 +74,7 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_clean, p6_pack, p7_found, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p1_found, p1_clean, p3_found, p3_reasons, p4_found, p4_bodies, p5_found, p5_restored, p6_pack, p7_found, p8_found, p8_forms)}
 
 
 _P1 = r"""
