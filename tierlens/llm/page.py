@@ -22,25 +22,33 @@ MIN_PAGES = 4
 _CAP = "A-ZÀ-ÖØ-Þ" + "".join(chr(c) for c in range(0x100, 0x180) if chr(c).isupper()) + "А-ЯЁ"
 _NAME = re.compile(rf"[{_CAP}][\w’'-]*(?:\s+[{_CAP}][\w’'-]*)*")
 _NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
-# a made-up code or address: five consonants in a row, or a leading slash
-CODE = re.compile(r"(?<!\S)/\S+|\b[a-z0-9]*[bcdfghjklmnpqrstvwxz]{5,}[a-z0-9]*\b")
+_PUNCT = re.compile(r"[^\w\s’'-]+")
+# a made-up code or an address: five consonants in a row, a leading slash, a mail address
+CODE = re.compile(r"(?<!\S)/\S+|\S+@\S+|\b[a-z0-9]*[bcdfghjklmnpqrstvwxz]{5,}[a-z0-9]*\b")
 # The syllables that filler in the manner of "lorem ipsum" is made of.
 SYLLABLES = "lo rem ip ips sum do lor sit a am met con sec te tet tur ad pi pis sci sc cing el eli it lit se sed ei us eius mod tem por in ci cid di dunt ut la lab bo re et unt du id tam ti um mag na ali qua men ven quis nos trud ex er ul lam co ris ni si ea com mo quat ir ure vo lup ta ve es cil fu gi at nul pa ri"
 _FILLER_WORD = re.compile(f"(?:{'|'.join(sorted(set(SYLLABLES.split()), key=lambda x: -len(x)))})+$")
 _WORD = re.compile(r"[^\W\d_]+")
 FILLER_WORDS, FILLER_SHARE = 5, 0.8
-_DECOR_FRONT = re.compile(r"^[\s*•\-–—>»›#·|]+(?=\S)")
-_DECOR_BACK = re.compile(r"[\s›»|·]+$")
+_DECOR_FRONT, _DECOR_BACK = " *•-–—>»›#·|\t\r", " ›»|·\t\r"
 _LETTERS = re.compile(r"[\W\d_]+")
 _PARTS = re.compile(r"\s+[|»·›]\s+|\s+[/>]\s+|\s{2,}|\t")
-_SENTENCE = re.compile(r"[.!?…][»”“\"’)]*$")
+_SEPARATORS = ("|", "»", "·", "›", "  ", " / ", " > ", "\t")
 _LOWER = re.compile(r"[^\W\d_A-ZА-ЯЁ]{2}")
 BULLET = re.compile(r"^\s*(?:[*•\-–>]|\d+[.)])\s+")
 
 
+_MAYBE_CODE = re.compile(r"[bcdfghjklmnpqrstvwxz]{5}|[@/]")
+
+
+def uncoded(s: str, by: str = " ") -> str:
+    """The string with its made-up codes and addresses replaced."""
+    return CODE.sub(by, s) if _MAYBE_CODE.search(s) else s
+
+
 def bare(line: str) -> str:
     """The line without bullets, arrows and the like at its ends."""
-    return _DECOR_BACK.sub("", _DECOR_FRONT.sub("", line))
+    return line.strip().lstrip(_DECOR_FRONT).rstrip(_DECOR_BACK)
 
 
 def letters(s: str) -> str:
@@ -48,29 +56,37 @@ def letters(s: str) -> str:
 
 
 def parts_of(line: str) -> list[str]:
-    return [p for p in _PARTS.split(bare(line)) if p]
+    s = bare(line)
+    if not any(sep in s for sep in _SEPARATORS):
+        return [s] if s else []
+    return [p for p in _PARTS.split(s) if p]
 
 
 def form_of(part: str) -> str:
     """The generalised form of a part; of one without small letters the letters themselves."""
     if part.isupper() or not _LOWER.search(part):
-        return letters(part) and "=" + letters(part)
-    masked = _NUMBER.sub("0", CODE.sub("0", _NAME.sub("N", part)))
-    rest = masked.replace("N", "")
-    return masked if _LOWER.search(rest) else "=" + letters(part)
+        return letters(part) and "=" + letters(uncoded(part))
+    masked = _NAME.sub("N", _PUNCT.sub(" ", _NUMBER.sub("0", uncoded(part, "0"))))
+    return " ".join(masked.split()) if _LOWER.search(masked.replace("N", "")) else "=" + letters(uncoded(part))
+
+
+def _closed(s: str) -> bool:
+    """Does the string end a sentence?"""
+    return s.rstrip("»”“\"’)")[-1:] in {".", "!", "?", "…"}
 
 
 def is_prose(line: str) -> bool:
     """A sentence or more: long enough and closed like one."""
     s = line.rstrip(" ›»\r\t")
-    return len(s) >= 40 and bool(_SENTENCE.search(s)) and s.count(" ") >= 5
+    return len(s) >= 40 and _closed(s) and s.count(" ") >= 5
 
 
 def is_filler(line: str) -> bool:
     """A passage in invented Latin: nearly all of its words are made of the syllables of filler text."""
-    words = _WORD.findall(line.lower())
-    if len(words) < FILLER_WORDS or sum(bool(_FILLER_WORD.match(w)) for w in words[:8]) < 4:
+    first = _WORD.findall(line[:60].lower())
+    if len(first) < FILLER_WORDS or not all(_FILLER_WORD.match(w) for w in first[1:4:2]):
         return False
+    words = _WORD.findall(line.lower())
     return sum(bool(_FILLER_WORD.match(w)) for w in words) >= FILLER_SHARE * len(words)
 
 
@@ -80,35 +96,42 @@ def h64(s: str) -> int:
     return xxhash.xxh3_64_intdigest(s) - (1 << 63)
 
 
-_DIGITS = str.maketrans("", "", "0123456789")
+#: A longer part is furniture only where its very letters recur.
+_LONG = 140
+
+
+def hashed_parts(line: str) -> tuple[tuple[int, int], ...]:
+    """(hash of the form, hash of the letters) of each part of a stripped line; 0 where there is none."""
+    out = []
+    for p in parts_of(line):
+        if len(p) > _LONG:
+            low = p.lower()
+            key = form = h64(_NUMBER.sub("", low) if _NUMBER.search(low) else low)
+        else:
+            f, k = form_of(p), letters(uncoded(p))
+            form, key = (h64(f) if f else 0), (h64(k) if k else 0)
+        out.append((form, key))
+    return tuple(out)
 
 
 class Line:
-    """What a line is by itself: hashes of form and letters by part, and its shape."""
+    """The shape of a line, as far as it depends on the line alone."""
 
-    __slots__ = ("parts", "prose", "caps", "bullet", "entry", "byline", "banner", "filler", "marked", "last", "words", "opens")
+    __slots__ = ("prose", "caps", "bullet", "entry", "byline", "filler", "marked", "last", "words", "opens", "pieces")
 
-    def __init__(self, raw: str):
+    def __init__(self, raw: str, parts: int):
         line = raw.strip()
-        parts = parts_of(line)
         self.words = line.count(" ") + 1
         self.prose = is_prose(line)
-        self.banner = line.startswith("+++") or line.endswith("+++")
         self.marked = line.startswith("# ")
         self.bullet = bool(BULLET.match(raw))
         self.caps = line.isupper()
+        self.filler = self.words >= FILLER_WORDS and parts == 1 and is_filler(line)
         self.entry = not self.prose and _is_entry(line)
-        self.filler = self.words >= FILLER_WORDS and len(parts) == 1 and is_filler(line)
         self.byline = not self.prose and bool(_BYLINE.search(line))
-        self.last = letters(parts[-1]) if parts and not self.prose else ""
-        self.opens = len(parts) == 1 and not self.bullet and not _SENTENCE.search(line)
-        hashed = []
-        for p in parts:
-            # a long part is furniture only where its very letters recur
-            form = form_of(p) if len(p) <= 140 else "=" + p.lower().translate(_DIGITS)
-            key = letters(CODE.sub(" ", p)) if len(p) <= 140 else form
-            hashed.append((h64(form) if form else 0, h64(key) if key else 0))
-        self.parts = hashed
+        self.last = "" if self.prose or not parts else letters(parts_of(line)[-1])
+        self.opens = parts == 1 and not self.bullet and not _closed(line)
+        self.pieces: list[int] | None = None
 
 
 def _is_entry(line: str) -> bool:
@@ -124,13 +147,24 @@ class Lines:
 
     def __init__(self):
         self.known: dict[str, Line] = {}
+        self.hashed: dict[str, tuple[tuple[int, int], ...]] = {}
         self.heads: dict[str, int] = {}
 
-    def of(self, raw: str) -> Line:
+    def parts(self, raw: str) -> tuple[tuple[int, int], ...]:
+        got = self.hashed.get(raw)
+        if got is None:
+            got = hashed_parts(raw.strip())
+            if len(raw) <= _LONG:
+                if len(self.hashed) >= self.bound:
+                    self.hashed.clear()
+                self.hashed[raw] = got
+        return got
+
+    def of(self, raw: str, parts: int = 0) -> Line:
         got = self.known.get(raw)
         if got is None:
-            got = Line(raw)
-            if len(raw) <= 300:
+            got = Line(raw, parts or len(self.parts(raw)))
+            if len(raw) <= 2 * _LONG:
                 if len(self.known) >= self.bound:
                     self.known.clear()
                 self.known[raw] = got
@@ -154,7 +188,7 @@ def _form_rows(batches):
         out: tuple[list, ...] = ([], [], [], [])
         for host, path, text in zip(*(c.to_pylist() for c in b.columns)):
             hh, ph = h64(host or ""), h64(path or "")
-            for form, key in {p for line in text.split("\n") if line for p in known.of(line).parts if p[1]}:
+            for form, key in {p for line in text.split("\n") if line for p in known.parts(line) if p[1]}:
                 out[0].append(form)
                 out[1].append(key)
                 out[2].append(hh)
@@ -182,40 +216,44 @@ def furniture(votes: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 class Page:
     """A page's lines with their role in it. ``chrome`` holds the hashes of furniture forms."""
 
-    __slots__ = ("lines", "shapes", "roles", "title", "content")
+    __slots__ = ("lines", "known", "roles", "title", "content")
 
     def __init__(self, text: str, chrome, known: Lines):
         self.lines = lines = text.split("\n")
-        self.shapes = shapes = [known.of(x) for x in lines]
+        self.known = known
         self.roles = roles = [""] * len(lines)
+        parts_in, of = known.parts, known.of
         trail: set[str] = set()
         first_prose = len(lines)
-        for i, s in enumerate(shapes):
-            n = len(s.parts)
+        for i, raw in enumerate(lines):
+            parts = parts_in(raw)
+            n = len(parts)
             if not n:
                 roles[i] = "blank"
                 continue
             hits = 0
-            for form, _ in s.parts:
+            for form, _ in parts:
                 hits += form in chrome
-            if s.banner:
-                roles[i] = "banner"
-            elif hits and 2 * hits >= n:
+            if hits and 2 * hits >= n:
                 roles[i] = "furniture"
                 if n > 1:
-                    trail.add(s.last)
-            elif s.filler:
-                roles[i] = "filler"
-            elif s.prose:
-                roles[i] = "prose"
-                first_prose = min(first_prose, i)
-            elif n == 1 and s.caps and s.words > 1:
-                roles[i] = "furniture"
+                    trail.add(of(raw, n).last)
+            elif raw.lstrip().startswith("+++") or raw.rstrip().endswith("+++"):
+                roles[i] = "banner"
+            else:
+                s = of(raw, n)
+                if s.filler:
+                    roles[i] = "filler"
+                elif s.prose:
+                    roles[i] = "prose"
+                    first_prose = min(first_prose, i)
+                elif n == 1 and s.caps and s.words > 1:
+                    roles[i] = "furniture"
         open_ = [i for i, r in enumerate(roles) if not r]
         # the title: a marked line, the end of the trail, or the first line of three words above the prose
-        self.title = next((i for i in open_ if shapes[i].marked or shapes[i].last in trail), -1)
+        self.title = next((i for i in open_ if of(lines[i]).marked or of(lines[i]).last in trail), -1)
         if self.title < 0:
-            self.title = next((i for i in open_ if i < first_prose and shapes[i].words >= 3 and not shapes[i].bullet), -1)
+            self.title = next((i for i in open_ if i < first_prose and of(lines[i]).words >= 3 and not of(lines[i]).bullet), -1)
         if self.title >= 0:
             roles[self.title] = "title"
         self.content = first_prose < len(lines)
@@ -223,16 +261,19 @@ class Page:
             self._rest(known, chrome)
 
     def _rest(self, known: Lines, chrome) -> None:
-        roles, title, opened, since_title = self.roles, self.title, False, 0
-        for i, s in enumerate(self.shapes):
+        roles, title, opened, since_title, before = self.roles, self.title, False, 0, ""
+        for i, raw in enumerate(self.lines):
             role = roles[i]
             if role == "blank":
                 continue
             since_title += i > title >= 0
+            s = known.of(raw)
             if role:
                 # a short label of the site opens a list of links to other pages
                 opened = role == "furniture" and i > title and s.opens
-            elif i < title or (title < 0 and not s.bullet and s.words < 3):
+                before = role
+                continue
+            if i < title or (title < 0 and not s.bullet and s.words < 3):
                 roles[i] = "menu"
             elif opened and not s.entry:
                 roles[i] = "link"
@@ -240,8 +281,11 @@ class Page:
                 roles[i] = "byline"
             elif any(found and known.head(head) in chrome for head, found, _ in (self.lines[i].partition(sep) for sep in (" - ", ": ", " – "))):
                 roles[i] = "link"
+            elif s.bullet and not s.entry and (before in ("furniture", "link") or self.lines[i].lstrip().startswith(">")):
+                roles[i] = "link"
             else:
                 roles[i] = "entry" if s.entry or s.bullet else "text"
+            before = roles[i]
 
 
 _BYLINE = re.compile(r"(?:,\s*(?:19|20)\d\d|[|·]\s*\d+\s+\S+(?:\s+\S+){0,3})\s*$")

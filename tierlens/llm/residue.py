@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..runtime import map_arrow
 from . import page
-from .page import CODE, Lines, Page, h64, letters
+from .encoding import repair
+from .page import Lines, Page, h64, letters, uncoded
 
 #: A context is literal where one mark makes up so much of at least so many occurrences.
 LITERAL_SHARE, LITERAL_MIN = 0.75, 3
@@ -52,9 +53,16 @@ def marks(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def pieces(line: str) -> list[int]:
+def _pieces(line: str) -> list[int]:
+    return [h64(k) for p in _PIECE.split(line) if len(k := letters(uncoded(p))) >= 3]
+
+
+def pieces(line: str, known: Lines) -> list[int]:
     """Hashes of the letters of a line's sentences and clauses."""
-    return [h64(k) for p in _PIECE.split(line) if len(k := letters(CODE.sub(" ", p))) >= 3]
+    shape = known.of(line)
+    if shape.pieces is None:
+        shape.pieces = _pieces(line)
+    return shape.pieces
 
 
 @dataclass
@@ -74,8 +82,8 @@ class Model:
             return "filler"
         prose = [x for x, r in zip(p.lines, p.roles) if r == "prose"]
         # prose made up of such wording alone is no content either
-        if len(prose) <= 2 and all(ks and self.in_place.issuperset(ks) for ks in map(pieces, prose)):
-            if any(k in self.in_place for x, r in zip(p.lines, p.roles) if r != "blank" for k in pieces(x)):
+        if len(prose) <= 2 and all(ks and self.in_place.issuperset(ks) for ks in (pieces(x, p.known) for x in prose)):
+            if any(k in self.in_place for x, r in zip(p.lines, p.roles) if r != "blank" for k in pieces(x, p.known)):
                 return "in_place"
         return None
 
@@ -107,11 +115,11 @@ def _evidence(chrome_b):
                         counts[0, m, c] += 1
                 p = Page(text, chrome, known)
                 if p.content:
-                    for k in {k for x, r in zip(p.lines, p.roles) if r == "furniture" for k in pieces(x)}:
+                    for k in {k for x, r in zip(p.lines, p.roles) if r == "furniture" for k in pieces(x, known)}:
                         counts[2, k, 0] += 1
                 else:
                     hh = h64(host or "")
-                    for k in {k for x, r in zip(p.lines, p.roles) if r != "blank" for k in pieces(x)}:
+                    for k in {k for x, r in zip(p.lines, p.roles) if r != "blank" for k in pieces(x, known)}:
                         counts[1, k, hh] += 1
             cols = list(zip(*counts)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["kind", "a", "b", "n"])
@@ -156,7 +164,11 @@ def _residue(model_b):
 
         known, model = Lines(), model_b.value
         for b in batches:
-            rows = [(s, i, why) for s, i, t in zip(*(c.to_pylist() for c in b.columns)) if (why := model.residue(Page(t, model.chrome, known), t))]
+            rows = []
+            for s, i, t in zip(*(c.to_pylist() for c in b.columns)):
+                t = repair(t)[1]
+                if why := model.residue(Page(t, model.chrome, known), t):
+                    rows.append((s, i, why))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate((pa.string(), pa.int64(), pa.string()))], names=["src", "row_id", "reason"])
 
     return run
