@@ -12,7 +12,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import map_arrow
+from ..runtime import checkpointed, map_arrow
 
 #: Rows of the table of furniture forms that are sent to every task; more of them are met by a join.
 FORMS_BOUND = 4_000_000
@@ -117,7 +117,7 @@ def hashed_parts(line: str) -> tuple[tuple[int, int], ...]:
 class Line:
     """The shape of a line, as far as it depends on the line alone."""
 
-    __slots__ = ("prose", "caps", "bullet", "entry", "byline", "filler", "marked", "last", "words", "opens", "pieces")
+    __slots__ = ("prose", "caps", "bullet", "entry", "byline", "filler", "marked", "last", "words", "opens")
 
     def __init__(self, raw: str, parts: int):
         line = raw.strip()
@@ -131,7 +131,6 @@ class Line:
         self.byline = not self.prose and bool(_BYLINE.search(line))
         self.last = "" if self.prose or not parts else letters(parts_of(line)[-1])
         self.opens = parts == 1 and not self.bullet and not _closed(line)
-        self.pieces: list[int] | None = None
 
 
 def _is_entry(line: str) -> bool:
@@ -148,18 +147,28 @@ class Lines:
     def __init__(self):
         self.known: dict[str, Line] = {}
         self.hashed: dict[str, tuple[tuple[int, int], ...]] = {}
+        self.recent: dict[str, tuple[tuple[int, int], ...]] = {}
         self.heads: dict[str, int] = {}
 
     def parts(self, raw: str) -> tuple[tuple[int, int], ...]:
         got = self.hashed.get(raw)
         if got is None:
-            got = hashed_parts(raw.strip())
-            if len(raw) <= _LONG:
-                if len(self.hashed) >= self.bound:
-                    self.hashed.clear()
-                self.hashed[raw] = got
+            got = self.recent.get(raw)
+            if got is None:
+                got = hashed_parts(raw.strip())
+                kept, bound = (self.hashed, self.bound) if len(raw) <= _LONG else (self.recent, 1000)
+                if len(kept) >= bound:
+                    kept.clear()
+                kept[raw] = got
         return got
 
+    def kind(self, raw: str, parts: int) -> str:
+        """``filler``, ``prose`` or neither, of a line that is no furniture."""
+        line = raw.strip()
+        if parts == 1 and is_filler(line):
+            return "filler"
+        return "prose" if is_prose(line) else ""
+
     def of(self, raw: str, parts: int = 0) -> Line:
         got = self.known.get(raw)
         if got is None:
@@ -196,27 +205,41 @@ def _form_rows(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["form", "key", "host", "path"])
 
 
-def form_votes(rows: DataFrame) -> DataFrame:
-    """(form, pages, fillings, host_fillings, hosts) over (host, path, text) rows; a page fetched again votes once."""
+def fillings(rows: DataFrame) -> DataFrame:
+    """(form, key, host, pages) over (host, path, text) rows: on how many pages of a host a form has a filling.
+
+    A page fetched again counts once. The result is read several times, so it is checkpointed.
+    """
     seen = map_arrow(rows.where("length(text) > 0").select("host", "path", "text"), _form_rows, "form bigint, key bigint, host bigint, path bigint")
     pages = seen.groupBy("form", "key", "host", "path").agg(F.lit(1).alias("one"))
-    fill = pages.groupBy("form", "key", "host").agg(F.count(F.lit(1)).alias("pages"))
-    return fill.groupBy("form").agg(
-        F.sum("pages").alias("pages"), F.approx_count_distinct("key", 0.03).alias("fillings"), F.count(F.lit(1)).alias("host_fillings"), F.approx_count_distinct("host", 0.05).alias("hosts")
-    )
+    return checkpointed(pages.groupBy("form", "key", "host").agg(F.count(F.lit(1)).cast("int").alias("pages")))
 
 
-def furniture(votes: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(form): forms whose fillings stay, by their hosts' votes or over all hosts."""
+def furniture(filled: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(form): forms whose fillings stay, by the votes of their hosts or over all hosts."""
+    votes = filled.groupBy("form").agg(
+        F.sum("pages").alias("pages"), F.approx_count_distinct("key", 0.03).alias("fillings"), F.count(F.lit(1)).alias("host_fillings"), F.approx_count_distinct("host", 0.05).alias("hosts")
+    )
     kept_by_host = (F.col("pages") >= min_pages) & (F.col("host_fillings") <= 0.72 * F.col("pages"))
     kept_by_all = (F.col("hosts") >= 2) & (F.col("fillings") <= F.greatest(F.lit(1.1), 0.3 * F.col("pages")))
     return votes.where(kept_by_host | kept_by_all).select("form")
 
 
+def is_furniture(parts: tuple[tuple[int, int], ...], chrome) -> bool:
+    hits = 0
+    for form, _ in parts:
+        hits += form in chrome
+    return bool(hits) and 2 * hits >= len(parts)
+
+
+def is_banner(raw: str) -> bool:
+    return raw.lstrip().startswith("+++") or raw.rstrip().endswith("+++")
+
+
 class Page:
     """A page's lines with their role in it. ``chrome`` holds the hashes of furniture forms."""
 
-    __slots__ = ("lines", "known", "roles", "title", "content")
+    __slots__ = ("lines", "known", "roles", "title")
 
     def __init__(self, text: str, chrome, known: Lines):
         self.lines = lines = text.split("\n")
@@ -231,14 +254,11 @@ class Page:
             if not n:
                 roles[i] = "blank"
                 continue
-            hits = 0
-            for form, _ in parts:
-                hits += form in chrome
-            if hits and 2 * hits >= n:
+            if is_furniture(parts, chrome):
                 roles[i] = "furniture"
                 if n > 1:
                     trail.add(of(raw, n).last)
-            elif raw.lstrip().startswith("+++") or raw.rstrip().endswith("+++"):
+            elif is_banner(raw):
                 roles[i] = "banner"
             else:
                 s = of(raw, n)
@@ -256,7 +276,6 @@ class Page:
             self.title = next((i for i in open_ if i < first_prose and of(lines[i]).words >= 3 and not of(lines[i]).bullet), -1)
         if self.title >= 0:
             roles[self.title] = "title"
-        self.content = first_prose < len(lines)
         if len(open_) > (self.title >= 0):
             self._rest(known, chrome)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, charforms, encoding, leakage, lines, packing, residue
+from . import boilerplate, charforms, encoding, language, leakage, lines, packing, residue
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,21 @@ def _site(spark: SparkSession, folder: str) -> DataFrame:
     return residue.site_rows(table(spark, folder, "pages"), table(spark, folder, "discovered_pages"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _site(spark, folder)
+    return language.mislabelled_rows(rows, language.fit(rows), residue.fit(rows))
+
+
+def p2_languages(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _site(spark, folder)
+    return language.row_languages(rows, language.fit(rows))
+
+
+def p2_passages(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _site(spark, folder)
+    return language.language_passages(rows, language.fit(rows))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     rows = _site(spark, folder)
     return residue.residue_rows(rows, residue.fit(rows)).select("src", "row_id")
@@ -74,7 +89,7 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_clean, p3_found, p3_reasons, p4_found, p4_bodies, p5_found, p5_restored, p6_pack, p7_found, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_languages, p2_passages, p3_found, p3_reasons, p4_found, p4_bodies, p5_found, p5_restored, p6_pack, p7_found, p8_found, p8_forms)}
 
 
 _P1 = r"""

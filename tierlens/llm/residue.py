@@ -16,10 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import map_arrow
+from ..runtime import checkpointed, map_arrow
 from . import page
 from .encoding import repair
-from .page import Lines, Page, h64, letters, uncoded
+from .page import Lines, h64, is_banner, is_furniture, letters, uncoded
 
 #: A context is literal where one mark makes up so much of at least so many occurrences.
 LITERAL_SHARE, LITERAL_MIN = 0.75, 3
@@ -35,7 +35,8 @@ MARK = re.compile(
 )
 _HAS_MARK = re.compile(r"[{\[$@%]|__|##|<|undefined|NaN|XXXX|TODO|FIXME|TBD")
 _CAPITAL = re.compile(rf"^[^\w]*[{page._CAP}]")
-_PIECE = re.compile(r"(?<=[.!?…])\s+|\s+[-–—|]\s+|:\s+")
+_SENTENCE = re.compile(r"(?<=[.!?…])\s+")
+_CLAUSE = re.compile(r"\s+[-–—|]\s+|:\s+")
 
 
 def _near(words: list[str]) -> str:
@@ -53,16 +54,27 @@ def marks(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def _pieces(line: str) -> list[int]:
-    return [h64(k) for p in _PIECE.split(line) if len(k := letters(uncoded(p))) >= 3]
+def _hashes(strings: list[str]) -> list[int]:
+    return [h64(k) for x in strings if len(k := letters(uncoded(x))) >= 3]
 
 
-def pieces(line: str, known: Lines) -> list[int]:
-    """Hashes of the letters of a line's sentences and clauses."""
-    shape = known.of(line)
-    if shape.pieces is None:
-        shape.pieces = _pieces(line)
-    return shape.pieces
+def wordings(raw: str, known: Lines) -> set[int]:
+    """Hashes of the letters of a line's parts, clauses and sentences."""
+    clauses = _CLAUSE.split(raw)
+    return {key for _, key in known.parts(raw) if key}.union(_hashes(clauses), _hashes([s for c in clauses for s in _SENTENCE.split(c)]))
+
+
+def consists_of(raw: str, known_wordings) -> bool:
+    """Is every clause of the line, but for the shortest, such a wording or made up of such sentences?"""
+    some = False
+    for clause in _CLAUSE.split(raw):
+        if len(letters(clause)) < 12:
+            continue
+        whole = _hashes([clause])
+        if whole and whole[0] not in known_wordings and not ((ks := _hashes(_SENTENCE.split(clause))) and known_wordings.issuperset(ks)):
+            return False
+        some = True
+    return some
 
 
 @dataclass
@@ -74,16 +86,29 @@ class Model:
     literal_marks: frozenset[int]
     in_place: frozenset[int]
 
-    def residue(self, p: Page, text: str) -> str | None:
+    def own_lines(self, text: str, known: Lines):
+        """(kind, line) of the lines that are no furniture, banners left out."""
+        chrome = self.chrome
+        for raw in text.split("\n"):
+            parts = known.parts(raw)
+            if parts and not is_furniture(parts, chrome) and not is_banner(raw):
+                yield known.kind(raw, len(parts)), raw
+
+    def residue(self, text: str, known: Lines) -> str | None:
         """Why the page is left out: ``slot``, ``filler`` or ``in_place``; None for a sound page."""
         if _HAS_MARK.search(text) and any((m, c) not in self.literal and m not in self.literal_marks for m, c in marks(text)):
             return "slot"
-        if "filler" in p.roles:
-            return "filler"
-        prose = [x for x, r in zip(p.lines, p.roles) if r == "prose"]
-        # prose made up of such wording alone is no content either
-        if len(prose) <= 2 and all(ks and self.in_place.issuperset(ks) for ks in (pieces(x, p.known) for x in prose)):
-            if any(k in self.in_place for x, r in zip(p.lines, p.roles) if r != "blank" for k in pieces(x, p.known)):
+        prose = []
+        for kind, raw in self.own_lines(text, known):
+            if kind == "filler":
+                return "filler"
+            if kind:
+                prose.append(raw)
+        if len(prose) > 2:
+            return None
+        # prose made up of wording in place of content alone is no content either
+        if all(consists_of(x, self.in_place) for x in prose):
+            if any(not self.in_place.isdisjoint(wordings(x, known)) for x in text.split("\n") if x):
                 return "in_place"
         return None
 
@@ -95,67 +120,73 @@ def site_rows(pages: DataFrame, discovered: DataFrame) -> DataFrame:
     return a.unionByName(b).where(F.col("row_id").isNotNull() & (F.length("text") > 0))
 
 
-def chrome_forms(rows: DataFrame) -> frozenset[int]:
-    found = page.furniture(page.form_votes(rows)).limit(page.FORMS_BOUND + 1).collect()
-    if len(found) > page.FORMS_BOUND:
-        raise ValueError("more furniture forms than the bound; raise page.FORMS_BOUND or page.MIN_PAGES")
-    return frozenset(r[0] for r in found)
+def _bounded(df: DataFrame, bound: int, what: str) -> list:
+    got = df.limit(bound + 1).collect()
+    if len(got) > bound:
+        raise ValueError(f"more {what} than the bound of {bound}")
+    return got
 
 
 def _evidence(chrome_b):
+    """(0, mark, context, 0) of marks and (1, wording, host, path) of pages without content, counted by batch."""
+
     def run(batches):
         import pyarrow as pa
 
-        known, chrome = Lines(), chrome_b.value
+        known, model = Lines(), Model(chrome_b.value, frozenset(), frozenset(), frozenset())
         for b in batches:
             counts: Counter = Counter()
-            for host, text in zip(*(c.to_pylist() for c in b.columns)):
+            for host, path, text in zip(*(c.to_pylist() for c in b.columns)):
                 if _HAS_MARK.search(text):
                     for m, c in set(marks(text)):
-                        counts[0, m, c] += 1
-                p = Page(text, chrome, known)
-                if p.content:
-                    for k in {k for x, r in zip(p.lines, p.roles) if r == "furniture" for k in pieces(x, known)}:
-                        counts[2, k, 0] += 1
-                else:
-                    hh = h64(host or "")
-                    for k in {k for x, r in zip(p.lines, p.roles) if r != "blank" for k in pieces(x, known)}:
-                        counts[1, k, hh] += 1
-            cols = list(zip(*counts)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["kind", "a", "b", "n"])
+                        counts[0, m, c, 0] += 1
+                if not any(kind == "prose" for kind, _ in model.own_lines(text, known)):
+                    hh, ph = h64(host or ""), h64(path or "")
+                    for k in {k for x in text.split("\n") if x for _, k in known.parts(x) if k}:
+                        counts[1, k, hh, ph] += 1
+            cols = list(zip(*counts)) or [(), (), (), ()]
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, kinds)), pa.array(list(counts.values()), pa.int64())], names=["kind", "a", "b", "c", "n"])
 
     return run
 
 
-def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
-    """The model of all rows: two passes, each an aggregate; only forms, slots and wordings that recur come to the driver."""
-    sc = rows.sparkSession.sparkContext
-    chrome = chrome_forms(rows)
-    evidence = map_arrow(rows.select("host", "text"), _evidence(sc.broadcast(chrome)), "kind int, a bigint, b bigint, n bigint")
-    summed = evidence.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
-    slots = summed.where("kind = 0").select("a", "b", "n")
-    places = summed.where("kind > 0").groupBy("a").agg(
-        F.sum(F.when(F.col("kind") == 1, 1).otherwise(0)).alias("hosts"), F.sum(F.when(F.col("kind") == 1, F.col("n")).otherwise(0)).alias("bare"), F.sum("n").alias("pages")
-    )
-    kept = places.where((F.col("hosts") >= place_hosts) & (F.col("bare") >= PLACE_SHARE * F.col("pages"))).select(F.lit(1).alias("kind"), "a", F.lit(0).cast("long").alias("b"), F.col("bare").alias("n"))
-    got = slots.select(F.lit(0).alias("kind"), "a", "b", "n").unionByName(kept).limit(MODEL_BOUND + 1).collect()
-    if len(got) > MODEL_BOUND:
-        raise ValueError("more slots and wordings than residue.MODEL_BOUND")
+def literal_slots(slots: list[tuple[int, int, int]]) -> tuple[frozenset, frozenset]:
+    """((mark, context) pairs and marks that are wording) of (mark, context, count) rows.
+
+    A context is literal where one mark fills it nearly always; a mark is where nearly all its contexts are.
+    """
     by_context: dict[int, Counter] = defaultdict(Counter)
-    per_mark: Counter = Counter()
-    for kind, a, b, n in got:
-        if not kind:
-            per_mark[a] += n
-            if b:
-                by_context[b][a] += n
-    literal = frozenset((m, c) for c, ms in by_context.items() for m, n in ms.items() if n >= LITERAL_MIN and n >= LITERAL_SHARE * sum(ms.values()))
-    in_literal: Counter = Counter()
-    for m, c in literal:
+    per_mark, in_literal = Counter(), Counter()
+    for m, c, n in slots:
+        per_mark[m] += n
+        if c:
+            by_context[c][m] += n
+    pairs = [(m, c) for c, ms in by_context.items() for m, n in ms.items() if n >= LITERAL_MIN and n >= LITERAL_SHARE * sum(ms.values())]
+    for m, c in pairs:
         in_literal[m] += by_context[c][m]
-    literal_marks = frozenset(m for m, n in in_literal.items() if n >= LITERAL_SHARE * per_mark[m])
-    # a context is literal for a mark only where the mark keeps to few contexts; one that turns up anywhere is a slot's
-    literal = frozenset((m, c) for m, c in literal if m in literal_marks)
-    return Model(chrome, literal, literal_marks, frozenset(r[1] for r in got if r[0]))
+    literal = frozenset(m for m, n in in_literal.items() if n >= LITERAL_SHARE * per_mark[m])
+    return frozenset((m, c) for m, c in pairs if m in literal), literal
+
+
+def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
+    """The model of all (host, path, text) rows: two passes, each an aggregate over all of them.
+
+    Only what recurs comes to the driver: furniture forms, marks with their contexts, and wordings found on
+    pages without content of several hosts and hardly on others; each within a checked bound.
+    """
+    sc = rows.sparkSession.sparkContext
+    filled = page.fillings(rows)
+    chrome = frozenset(r[0] for r in _bounded(page.furniture(filled), page.FORMS_BOUND, "furniture forms"))
+    evidence = map_arrow(rows.select("host", "path", "text"), _evidence(sc.broadcast(chrome)), "kind int, a bigint, b bigint, c bigint, n bigint")
+    summed = checkpointed(evidence.groupBy("kind", "a", "b", "c").agg(F.sum("n").alias("n")))
+    slots = _bounded(summed.where("kind = 0").select("a", "b", "n"), MODEL_BOUND, "slots")
+    bare = summed.where("kind = 1").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).groupBy("a").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare"))
+    often = bare.where(F.col("hosts") >= place_hosts)
+    pages = filled.join(often.select(F.col("a").alias("key")), "key", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
+    placed = often.join(pages, often["a"] == pages["key"]).where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("a")
+    in_place = frozenset(r[0] for r in _bounded(placed, MODEL_BOUND, "wordings"))
+    return Model(chrome, *literal_slots([tuple(r) for r in slots]), in_place)
 
 
 def _residue(model_b):
@@ -167,7 +198,7 @@ def _residue(model_b):
             rows = []
             for s, i, t in zip(*(c.to_pylist() for c in b.columns)):
                 t = repair(t)[1]
-                if why := model.residue(Page(t, model.chrome, known), t):
+                if why := model.residue(t, known):
                     rows.append((s, i, why))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate((pa.string(), pa.int64(), pa.string()))], names=["src", "row_id", "reason"])
 
