@@ -365,7 +365,7 @@ def oracles() -> dict[str, str]:
         "acquired_sites": f"SELECT DISTINCT dpage_id, r AS registrable, string_split(r, '.')[1] AS slug FROM (SELECT dpage_id, {_reg_sql('url')} AS r, {_reg_sql('domain')} AS o, {_host_sql('url')} AS h FROM {dp}) WHERE r <> '' AND o <> '' AND r <> o AND NOT {_under('h', fixed.BOARD_HOSTS)}",
         "page_types": f"SELECT page_type, {_type_sql('p')} AS by_path, count(*) AS n FROM (SELECT DISTINCT dpage_id, page_type, lower({_path_sql('path')}) AS p FROM {dp}) GROUP BY 1, 2",
         "link_types": f"SELECT DISTINCT dpage_id, {link} AS link_type, {ignored} AS ignored FROM {dp} WHERE url IS NOT NULL",
-        "page_summary": f"SELECT page_type, tier, count(*) AS n, CAST(count_if(ok) AS BIGINT) AS n_ok, CAST(count_if(length(text) > 0) AS BIGINT) AS n_text, CAST(sum(coalesce(length(text), 0)) AS BIGINT) AS chars, count(DISTINCT domain) AS domains FROM {dp} GROUP BY 1, 2",
+        "page_summary": f"SELECT page_type, tier, count(*) AS n, CAST(coalesce(count_if(ok), 0) AS BIGINT) AS n_ok, CAST(coalesce(count_if(length(text) > 0), 0) AS BIGINT) AS n_text, CAST(sum(coalesce(length(text), 0)) AS BIGINT) AS chars, count(DISTINCT domain) AS domains FROM {dp} GROUP BY 1, 2",
         "pages_latest": f"SELECT domain, page_id, url, status, ok, fetched_at FROM ({_LAST_PAGES})",
         "discovered_latest": f"SELECT domain, path, dpage_id, status, linked_from_homepage, CAST(length(text) AS INTEGER) AS n_chars FROM ({_LAST_DISCOVERED})",
         "postings_latest": "SELECT domain, page_url, posting_key, title, location FROM (SELECT *, row_number() OVER (PARTITION BY domain, page_url, posting_key ORDER BY fetched_at DESC NULLS LAST, title DESC NULLS LAST, location DESC NULLS LAST, department DESC NULLS LAST, published_at DESC NULLS LAST, url DESC NULLS LAST) AS rn FROM ssr_postings WHERE posting_key IS NOT NULL) WHERE rn = 1",
