@@ -16,6 +16,8 @@ from ..runtime import checkpointed, map_arrow
 
 #: Rows of the table of furniture forms that are sent to every task; more of them are met by a join.
 FORMS_BOUND = 4_000_000
+#: A line shorter than this is no prose.
+PROSE_CHARS = 40
 #: A form must be seen on so many pages before its hosts' votes count.
 MIN_PAGES = 4
 
@@ -31,9 +33,8 @@ _FILLER_WORD = re.compile(f"(?:{'|'.join(sorted(set(SYLLABLES.split()), key=lamb
 _WORD = re.compile(r"[^\W\d_]+")
 FILLER_WORDS, FILLER_SHARE = 5, 0.8
 _DECOR_FRONT, _DECOR_BACK = " *•-–—>»›#·|\t\r", " ›»|·\t\r"
-_LETTERS = re.compile(r"[\W\d_]+")
 _PARTS = re.compile(r"\s+[|»·›]\s+|\s+[/>]\s+|\s{2,}|\t")
-_SEPARATORS = ("|", "»", "·", "›", "  ", " / ", " > ", "\t")
+_SEPARATOR = re.compile(r"[|»·›\t]|\s{2}| [/>] ")
 _LOWER = re.compile(r"[^\W\d_A-ZА-ЯЁ]{2}")
 BULLET = re.compile(r"^\s*(?:[*•\-–>]|\d+[.)])\s+")
 
@@ -52,22 +53,22 @@ def bare(line: str) -> str:
 
 
 def letters(s: str) -> str:
-    return _LETTERS.sub("", s.lower())
+    return "".join(filter(str.isalpha, s.lower()))
 
 
 def parts_of(line: str) -> list[str]:
     s = bare(line)
-    if not any(sep in s for sep in _SEPARATORS):
+    if not _SEPARATOR.search(s):
         return [s] if s else []
     return [p for p in _PARTS.split(s) if p]
 
 
 def form_of(part: str) -> str:
-    """The generalised form of a part; of one without small letters the letters themselves."""
-    if part.isupper() or not _LOWER.search(part):
-        return letters(part) and "=" + letters(uncoded(part))
-    masked = _NAME.sub("N", _PUNCT.sub(" ", _NUMBER.sub("0", uncoded(part, "0"))))
-    return " ".join(masked.split()) if _LOWER.search(masked.replace("N", "")) else "=" + letters(uncoded(part))
+    """The generalised form of a part without codes; of one without small letters the letters themselves."""
+    if part.upper() == part:
+        return (k := letters(part)) and "=" + k
+    masked = _NAME.sub("N", _PUNCT.sub(" ", _NUMBER.sub("0", part)))
+    return " ".join(masked.split()) if masked.strip("N0 ’'-") else "=" + letters(part)
 
 
 def _closed(s: str) -> bool:
@@ -78,16 +79,16 @@ def _closed(s: str) -> bool:
 def is_prose(line: str) -> bool:
     """A sentence or more: long enough and closed like one."""
     s = line.rstrip(" ›»\r\t")
-    return len(s) >= 40 and _closed(s) and s.count(" ") >= 5
+    return len(s) >= PROSE_CHARS and _closed(s) and s.count(" ") >= 5
 
 
 def is_filler(line: str) -> bool:
     """A passage in invented Latin: nearly all of its words are made of the syllables of filler text."""
-    first = _WORD.findall(line[:60].lower())
-    if len(first) < FILLER_WORDS or not all(_FILLER_WORD.match(w) for w in first[1:4:2]):
+    first = line.split(None, 5)[1:5]
+    if len(first) < 4 or not first[0].islower() or not all(_FILLER_WORD.match(w.lower().rstrip(".,")) for w in first[::2]):
         return False
     words = _WORD.findall(line.lower())
-    return sum(bool(_FILLER_WORD.match(w)) for w in words) >= FILLER_SHARE * len(words)
+    return len(words) >= FILLER_WORDS and sum(bool(_FILLER_WORD.match(w)) for w in words) >= FILLER_SHARE * len(words)
 
 
 def h64(s: str) -> int:
@@ -100,37 +101,70 @@ def h64(s: str) -> int:
 _LONG = 140
 
 
-def hashed_parts(line: str) -> tuple[tuple[int, int], ...]:
-    """(hash of the form, hash of the letters) of each part of a stripped line; 0 where there is none."""
+def hashed_forms(line: str) -> tuple[int, ...]:
+    """Hash of the form of each part of a stripped line; 0 where there is none."""
+    return tuple(_long_hash(p) if len(p) > _LONG else h64(f) if (f := form_of(uncoded(p, "0"))) else 0 for p in parts_of(line))
+
+
+def hashed_pairs(line: str) -> tuple[tuple[int, int], ...]:
+    """Hashes of the form and of the letters of each part; 0 where there is none."""
     out = []
     for p in parts_of(line):
         if len(p) > _LONG:
-            low = p.lower()
-            key = form = h64(_NUMBER.sub("", low) if _NUMBER.search(low) else low)
+            form = key = _long_hash(p)
         else:
-            f, k = form_of(p), letters(uncoded(p))
-            form, key = (h64(f) if f else 0), (h64(k) if k else 0)
+            plain = uncoded(p, "0")
+            f = form_of(plain)
+            k = (f[1:] if f[:1] == "=" else letters(p)) if plain is p else letters(uncoded(p))
+            form, key = h64(f) if f else 0, h64(k) if k else 0
         out.append((form, key))
     return tuple(out)
 
 
+def _long_hash(part: str) -> int:
+    low = part.lower()
+    return h64(_NUMBER.sub("", low) if _NUMBER.search(low) else low)
+
+
 class Line:
-    """The shape of a line, as far as it depends on the line alone."""
+    """The shape of a line, as far as it depends on the line alone; the rarer marks are found when asked for."""
 
-    __slots__ = ("prose", "caps", "bullet", "entry", "byline", "filler", "marked", "last", "words", "opens")
+    __slots__ = ("raw", "parts", "prose", "filler", "words", "bullet", "_entry", "_last", "_opens")
 
     def __init__(self, raw: str, parts: int):
-        line = raw.strip()
+        self.raw = line = raw.strip()
+        self.parts = parts
         self.words = line.count(" ") + 1
-        self.prose = is_prose(line)
-        self.marked = line.startswith("# ")
-        self.bullet = bool(BULLET.match(raw))
-        self.caps = line.isupper()
         self.filler = self.words >= FILLER_WORDS and parts == 1 and is_filler(line)
-        self.entry = not self.prose and _is_entry(line)
-        self.byline = not self.prose and bool(_BYLINE.search(line))
-        self.last = "" if self.prose or not parts else letters(parts_of(line)[-1])
-        self.opens = parts == 1 and not self.bullet and not _closed(line)
+        self.prose = not self.filler and is_prose(line)
+        self.bullet = bool(BULLET.match(line))
+        self._entry = self._last = self._opens = None
+
+    @property
+    def caps(self) -> bool:
+        return self.raw.isupper()
+
+    @property
+    def entry(self) -> bool:
+        if self._entry is None:
+            self._entry = not self.prose and _is_entry(self.raw)
+        return self._entry
+
+    @property
+    def byline(self) -> bool:
+        return not self.prose and bool(_BYLINE.search(self.raw))
+
+    @property
+    def last(self) -> str:
+        if self._last is None:
+            self._last = "" if self.prose or not self.parts else letters(parts_of(self.raw)[-1])
+        return self._last
+
+    @property
+    def opens(self) -> bool:
+        if self._opens is None:
+            self._opens = self.parts == 1 and not self.bullet and not _closed(self.raw)
+        return self._opens
 
 
 def _is_entry(line: str) -> bool:
@@ -140,77 +174,107 @@ def _is_entry(line: str) -> bool:
 
 
 class Lines:
-    """Lines by their text, remembered as far as the bound goes, for most of them recur."""
+    """What was found out about lines, remembered for the lines that recur, as far as the bound goes."""
 
-    bound = 200_000
+    bound, long_bound = 200_000, 2_000
 
     def __init__(self):
-        self.known: dict[str, Line] = {}
-        self.hashed: dict[str, tuple[tuple[int, int], ...]] = {}
-        self.recent: dict[str, tuple[tuple[int, int], ...]] = {}
-        self.heads: dict[str, int] = {}
-
-    def parts(self, raw: str) -> tuple[tuple[int, int], ...]:
-        got = self.hashed.get(raw)
-        if got is None:
-            got = self.recent.get(raw)
-            if got is None:
-                got = hashed_parts(raw.strip())
-                kept, bound = (self.hashed, self.bound) if len(raw) <= _LONG else (self.recent, 1000)
-                if len(kept) >= bound:
-                    kept.clear()
-                kept[raw] = got
+        self._forms: dict[str, tuple[int, ...]] = {}
+        self._pairs: dict[str, tuple[tuple[int, int], ...]] = {}
+        self._shapes: dict[str, Line] = {}
+        self._long: dict[tuple[str, str], object] = {}
+        self._heads: dict[str, int] = {}
+        self._sorts: dict[str, int] = {}
+
+    def _remember(self, kept: dict, kind: str, raw: str, make):
+        if len(raw) <= _LONG:
+            if len(kept) >= self.bound:
+                kept.clear()
+            got = kept[raw] = make()
+            return got
+        if (got := self._long.get((kind, raw))) is None:
+            if len(self._long) >= self.long_bound:
+                self._long.clear()
+            got = self._long[kind, raw] = make()
         return got
 
-    def kind(self, raw: str, parts: int) -> str:
-        """``filler``, ``prose`` or neither, of a line that is no furniture."""
-        line = raw.strip()
-        if parts == 1 and is_filler(line):
-            return "filler"
-        return "prose" if is_prose(line) else ""
+    def forms(self, raw: str) -> tuple[int, ...]:
+        got = self._forms.get(raw)
+        return self._remember(self._forms, "f", raw, lambda: hashed_forms(raw.strip())) if got is None else got
 
-    def of(self, raw: str, parts: int = 0) -> Line:
-        got = self.known.get(raw)
+    def pairs(self, raw: str) -> tuple[tuple[int, int], ...]:
+        got = self._pairs.get(raw)
+        return self._remember(self._pairs, "p", raw, lambda: hashed_pairs(raw.strip())) if got is None else got
+
+    def of(self, raw: str) -> Line:
+        got = self._shapes.get(raw)
+        return self._remember(self._shapes, "s", raw, lambda: Line(raw, len(self.forms(raw)))) if got is None else got
+
+    def sort(self, raw: str) -> int:
+        """1 for a line of prose in words, 2 for one of filler, else 0; banners are neither."""
+        if len(raw) < PROSE_CHARS:
+            return 0
+        got = self._sorts.get(raw)
         if got is None:
-            got = Line(raw, parts or len(self.parts(raw)))
-            if len(raw) <= 2 * _LONG:
-                if len(self.known) >= self.bound:
-                    self.known.clear()
-                self.known[raw] = got
+            line = raw.strip()
+            got = 0 if not is_prose(line) or is_banner(raw) else 2 if is_filler(line) else 1
+            if len(raw) <= _LONG:
+                if len(self._sorts) >= self.bound:
+                    self._sorts.clear()
+                self._sorts[raw] = got
         return got
 
     def head(self, s: str) -> int:
-        got = self.heads.get(s)
+        got = self._heads.get(s)
         if got is None:
-            if len(self.heads) >= self.bound:
-                self.heads.clear()
-            form = form_of(bare(s))
-            got = self.heads[s] = h64(form) if form else 0
+            if len(self._heads) >= self.bound:
+                self._heads.clear()
+            got = self._heads[s] = h64(f) if (f := form_of(uncoded(bare(s), "0"))) else 0
         return got
 
 
-def _form_rows(batches):
+def _digests(batches):
     import pyarrow as pa
 
-    known = Lines()
+    from .residue import marks, may_have_mark
+
+    known, ints = Lines(), pa.list_(pa.int64())
     for b in batches:
-        out: tuple[list, ...] = ([], [], [], [])
+        out: tuple[list, ...] = ([], [], [], [], [], [], [])
         for host, path, text in zip(*(c.to_pylist() for c in b.columns)):
-            hh, ph = h64(host or ""), h64(path or "")
-            for form, key in {p for line in text.split("\n") if line for p in known.parts(line) if p[1]}:
-                out[0].append(form)
-                out[1].append(key)
-                out[2].append(hh)
-                out[3].append(ph)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["form", "key", "host", "path"])
-
+            pairs, prose = set(), []
+            for raw in text.split("\n"):
+                got = known.pairs(raw)
+                if got:
+                    kind = known.sort(raw)
+                    if kind != 2:  # filler is never furniture, however often it recurs
+                        pairs.update(got)
+                        if kind:
+                            prose.append([f for f, _ in got])
+            pairs = [p for p in pairs if p[1]]
+            found = set(marks(text)) if may_have_mark(text) else ()
+            out[0].append(h64(host or ""))
+            out[1].append(h64(path or ""))
+            out[2].append([f for f, _ in pairs])
+            out[3].append([k for _, k in pairs])
+            out[4].append(prose)
+            out[5].append([m for m, _ in found])
+            out[6].append([c for _, c in found])
+        kinds = (pa.int64(), pa.int64(), ints, ints, pa.list_(ints), ints, ints)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["host", "path", "form", "key", "prose", "mark", "context"])
+
+
+def digests(rows: DataFrame) -> DataFrame:
+    """What the votes need of every (host, path, text) row, in hashes: forms and letters of its parts, the forms of
+    its lines of prose, its marks with their contexts. The one pass over the texts; checkpointed, for it is read three times.
+    """
+    schema = "host bigint, path bigint, form array<bigint>, key array<bigint>, prose array<array<bigint>>, mark array<bigint>, context array<bigint>"
+    return checkpointed(map_arrow(rows.where("length(text) > 0").select("host", "path", "text"), _digests, schema))
 
-def fillings(rows: DataFrame) -> DataFrame:
-    """(form, key, host, pages) over (host, path, text) rows: on how many pages of a host a form has a filling.
 
-    A page fetched again counts once. The result is read several times, so it is checkpointed.
-    """
-    seen = map_arrow(rows.where("length(text) > 0").select("host", "path", "text"), _form_rows, "form bigint, key bigint, host bigint, path bigint")
+def fillings(digest: DataFrame) -> DataFrame:
+    """(form, key, host, pages): on how many pages of a host a form has a filling; a page fetched again counts once."""
+    seen = digest.select("host", "path", F.explode(F.arrays_zip("form", "key")).alias("p")).select("host", "path", "p.form", "p.key")
     pages = seen.groupBy("form", "key", "host", "path").agg(F.lit(1).alias("one"))
     return checkpointed(pages.groupBy("form", "key", "host").agg(F.count(F.lit(1)).cast("int").alias("pages")))
 
@@ -225,31 +289,43 @@ def furniture(filled: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     return votes.where(kept_by_host | kept_by_all).select("form")
 
 
-def is_furniture(parts: tuple[tuple[int, int], ...], chrome) -> bool:
+def is_furniture(forms: tuple[int, ...], chrome) -> bool:
+    if len(forms) == 1:
+        return forms[0] in chrome
     hits = 0
-    for form, _ in parts:
+    for form in forms:
         hits += form in chrome
-    return bool(hits) and 2 * hits >= len(parts)
+    return bool(hits) and 2 * hits >= len(forms)
 
 
 def is_banner(raw: str) -> bool:
     return raw.lstrip().startswith("+++") or raw.rstrip().endswith("+++")
 
 
+class Scan:
+    """The lines of a text with the hashes of their forms."""
+
+    __slots__ = ("text", "lines", "forms", "known")
+
+    def __init__(self, text: str, known: Lines):
+        self.text, self.known = text, known
+        self.lines = text.split("\n")
+        self.forms = list(map(known.forms, self.lines))
+
+
 class Page:
     """A page's lines with their role in it. ``chrome`` holds the hashes of furniture forms."""
 
     __slots__ = ("lines", "known", "roles", "title")
 
-    def __init__(self, text: str, chrome, known: Lines):
-        self.lines = lines = text.split("\n")
-        self.known = known
+    def __init__(self, scan: Scan, chrome):
+        self.lines = lines = scan.lines
+        self.known = known = scan.known
         self.roles = roles = [""] * len(lines)
-        parts_in, of = known.parts, known.of
-        trail: set[str] = set()
+        of = known.of
+        trails: list[int] = []
         first_prose = len(lines)
-        for i, raw in enumerate(lines):
-            parts = parts_in(raw)
+        for i, (raw, parts) in enumerate(zip(lines, scan.forms)):
             n = len(parts)
             if not n:
                 roles[i] = "blank"
@@ -257,21 +333,24 @@ class Page:
             if is_furniture(parts, chrome):
                 roles[i] = "furniture"
                 if n > 1:
-                    trail.add(of(raw, n).last)
+                    trails.append(i)
             elif is_banner(raw):
                 roles[i] = "banner"
             else:
-                s = of(raw, n)
+                s = of(raw)
                 if s.filler:
                     roles[i] = "filler"
                 elif s.prose:
                     roles[i] = "prose"
                     first_prose = min(first_prose, i)
-                elif n == 1 and s.caps and s.words > 1:
+                elif n == 1 and s.words > 1 and s.caps:
                     roles[i] = "furniture"
         open_ = [i for i, r in enumerate(roles) if not r]
         # the title: a marked line, the end of the trail, or the first line of three words above the prose
-        self.title = next((i for i in open_ if of(lines[i]).marked or of(lines[i]).last in trail), -1)
+        self.title = next((i for i in open_ if lines[i].lstrip().startswith("# ")), -1)
+        if self.title < 0 and open_ and trails:
+            ends = {of(lines[i]).last for i in trails}
+            self.title = next((i for i in open_ if of(lines[i]).last in ends), -1)
         if self.title < 0:
             self.title = next((i for i in open_ if i < first_prose and of(lines[i]).words >= 3 and not of(lines[i]).bullet), -1)
         if self.title >= 0:
@@ -280,27 +359,27 @@ class Page:
             self._rest(known, chrome)
 
     def _rest(self, known: Lines, chrome) -> None:
-        roles, title, opened, since_title, before = self.roles, self.title, False, 0, ""
-        for i, raw in enumerate(self.lines):
-            role = roles[i]
+        roles, title, lines, of = self.roles, self.title, self.lines, known.of
+        opener, since_title, before = -1, 0, ""
+        for i, role in enumerate(roles):
             if role == "blank":
                 continue
             since_title += i > title >= 0
-            s = known.of(raw)
             if role:
                 # a short label of the site opens a list of links to other pages
-                opened = role == "furniture" and i > title and s.opens
+                opener = i if role == "furniture" and i > title else -1
                 before = role
                 continue
+            s = of(lines[i])
             if i < title or (title < 0 and not s.bullet and s.words < 3):
                 roles[i] = "menu"
-            elif opened and not s.entry:
+            elif opener >= 0 and of(lines[opener]).opens and not s.entry:
                 roles[i] = "link"
-            elif s.byline and since_title <= 1:
+            elif since_title <= 1 and s.byline:
                 roles[i] = "byline"
-            elif any(found and known.head(head) in chrome for head, found, _ in (self.lines[i].partition(sep) for sep in (" - ", ": ", " – "))):
+            elif any(found and known.head(head) in chrome for head, found, _ in (lines[i].partition(sep) for sep in (" - ", ": ", " – "))):
                 roles[i] = "link"
-            elif s.bullet and not s.entry and (before in ("furniture", "link") or self.lines[i].lstrip().startswith(">")):
+            elif s.bullet and not s.entry and (before in ("furniture", "link") or lines[i].lstrip().startswith(">")):
                 roles[i] = "link"
             else:
                 roles[i] = "entry" if s.entry or s.bullet else "text"

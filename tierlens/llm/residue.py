@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 from ..runtime import checkpointed, map_arrow
 from . import page
 from .encoding import repair
-from .page import Lines, h64, is_banner, is_furniture, letters, uncoded
+from .page import PROSE_CHARS, Lines, Scan, h64, is_furniture, letters, uncoded
 
 #: A context is literal where one mark makes up so much of at least so many occurrences.
 LITERAL_SHARE, LITERAL_MIN = 0.75, 3
 #: Wording in place of content: hosts it must recur on, and share of its pages that have no content.
 PLACE_HOSTS, PLACE_SHARE = 2, 0.8
+#: A line longer than this is no error text, however it is joined.
+IN_PLACE_CHARS = 250
 #: The slots and the wordings a model may hold on the driver and in each task.
 MODEL_BOUND = 2_000_000
 
@@ -33,7 +35,7 @@ MARK = re.compile(
     r"|%%[A-Za-z_]{2,40}%%|%[A-Z][A-Z_]{2,40}%|@@[A-Za-z_]{2,40}@@|__[A-Z][A-Z_]{2,40}__|##[A-Z_]{2,40}##"
     r"|\[[A-Za-z][A-Za-z _-]{1,40}\]|<(?:insert|your|enter|add)\b[^<>\n]{1,40}>|\bundefined\b|\bNaN\b|\bX{4,}\b|\b(?:TODO|FIXME|TBD)\b"
 )
-_HAS_MARK = re.compile(r"[{\[$@%]|__|##|<|undefined|NaN|XXXX|TODO|FIXME|TBD")
+_MARK_SIGNS = ("{", "[", "%", "<", "@@", "__", "##", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD")
 _CAPITAL = re.compile(rf"^[^\w]*[{page._CAP}]")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _CLAUSE = re.compile(r"\s+[-–—|]\s+|:\s+")
@@ -43,6 +45,10 @@ def _near(words: list[str]) -> str:
     return " ".join("N" if _CAPITAL.match(w) else "0" if w[:1].isdigit() else w.lower() for w in words)
 
 
+def may_have_mark(text: str) -> bool:
+    return any(sign in text for sign in _MARK_SIGNS)
+
+
 def marks(text: str) -> list[tuple[int, int]]:
     """(hash of the mark, hash of mark's surroundings; 0 where it stands alone) of each mark."""
     out = []
@@ -61,17 +67,19 @@ def _hashes(strings: list[str]) -> list[int]:
 def wordings(raw: str, known: Lines) -> set[int]:
     """Hashes of the letters of a line's parts, clauses and sentences."""
     clauses = _CLAUSE.split(raw)
-    return {key for _, key in known.parts(raw) if key}.union(_hashes(clauses), _hashes([s for c in clauses for s in _SENTENCE.split(c)]))
+    return {key for _, key in known.pairs(raw) if key}.union(_hashes(clauses), _hashes([s for c in clauses for s in _SENTENCE.split(c)]))
 
 
 def consists_of(raw: str, known_wordings) -> bool:
     """Is every clause of the line, but for the shortest, such a wording or made up of such sentences?"""
     some = False
     for clause in _CLAUSE.split(raw):
-        if len(letters(clause)) < 12:
+        sentences = _SENTENCE.split(clause)
+        # the first sentence alone, or the clause as a whole, must be known
+        if len(letters(sentences[0])) < 12 and len(sentences) == 1:
             continue
-        whole = _hashes([clause])
-        if whole and whole[0] not in known_wordings and not ((ks := _hashes(_SENTENCE.split(clause))) and known_wordings.issuperset(ks)):
+        first = _hashes(sentences[:1])
+        if not (first and first[0] in known_wordings and known_wordings.issuperset(_hashes(sentences[1:]))) and not known_wordings.issuperset(_hashes([clause])):
             return False
         some = True
     return some
@@ -86,29 +94,28 @@ class Model:
     literal_marks: frozenset[int]
     in_place: frozenset[int]
 
-    def own_lines(self, text: str, known: Lines):
-        """(kind, line) of the lines that are no furniture, banners left out."""
-        chrome = self.chrome
-        for raw in text.split("\n"):
-            parts = known.parts(raw)
-            if parts and not is_furniture(parts, chrome) and not is_banner(raw):
-                yield known.kind(raw, len(parts)), raw
-
-    def residue(self, text: str, known: Lines) -> str | None:
+    def own_lines(self, scan: Scan) -> tuple[list[str], bool]:
+        """(prose lines, any filler?) of the lines that are no furniture, banners left out."""
+        chrome, sort, prose = self.chrome, scan.known.sort, []
+        for raw, forms in zip(scan.lines, scan.forms):
+            if len(raw) >= PROSE_CHARS and not is_furniture(forms, chrome):
+                kind = sort(raw)
+                if kind == 2:
+                    return prose, True
+                if kind:
+                    prose.append(raw)
+        return prose, False
+
+    def residue(self, scan: Scan) -> str | None:
         """Why the page is left out: ``slot``, ``filler`` or ``in_place``; None for a sound page."""
-        if _HAS_MARK.search(text) and any((m, c) not in self.literal and m not in self.literal_marks for m, c in marks(text)):
+        if may_have_mark(scan.text) and any((m, c) not in self.literal and m not in self.literal_marks for m, c in marks(scan.text)):
             return "slot"
-        prose = []
-        for kind, raw in self.own_lines(text, known):
-            if kind == "filler":
-                return "filler"
-            if kind:
-                prose.append(raw)
-        if len(prose) > 2:
-            return None
-        # prose made up of wording in place of content alone is no content either
-        if all(consists_of(x, self.in_place) for x in prose):
-            if any(not self.in_place.isdisjoint(wordings(x, known)) for x in text.split("\n") if x):
+        prose, filler = self.own_lines(scan)
+        if filler:
+            return "filler"
+        # prose made up of wording in place of content alone is no content either; such wording is short
+        if len(prose) <= 2 and all(len(x) <= IN_PLACE_CHARS and consists_of(x, self.in_place) for x in prose):
+            if any(not self.in_place.isdisjoint(wordings(x, scan.known)) for x in scan.lines if x):
                 return "in_place"
         return None
 
@@ -127,26 +134,21 @@ def _bounded(df: DataFrame, bound: int, what: str) -> list:
     return got
 
 
-def _evidence(chrome_b):
-    """(0, mark, context, 0) of marks and (1, wording, host, path) of pages without content, counted by batch."""
+def _bare_rows(chrome_b):
+    """(key, host, path) of the wordings on pages without prose of their own."""
 
     def run(batches):
         import pyarrow as pa
 
-        known, model = Lines(), Model(chrome_b.value, frozenset(), frozenset(), frozenset())
+        chrome = chrome_b.value
         for b in batches:
-            counts: Counter = Counter()
-            for host, path, text in zip(*(c.to_pylist() for c in b.columns)):
-                if _HAS_MARK.search(text):
-                    for m, c in set(marks(text)):
-                        counts[0, m, c, 0] += 1
-                if not any(kind == "prose" for kind, _ in model.own_lines(text, known)):
-                    hh, ph = h64(host or ""), h64(path or "")
-                    for k in {k for x in text.split("\n") if x for _, k in known.parts(x) if k}:
-                        counts[1, k, hh, ph] += 1
-            cols = list(zip(*counts)) or [(), (), (), ()]
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, kinds)), pa.array(list(counts.values()), pa.int64())], names=["kind", "a", "b", "c", "n"])
+            out: tuple[list, ...] = ([], [], [])
+            for host, path, keys, prose in zip(*(c.to_pylist() for c in b.columns)):
+                if all(is_furniture(tuple(forms), chrome) for forms in prose):
+                    out[0].extend(keys)
+                    out[1].extend([host] * len(keys))
+                    out[2].extend([path] * len(keys))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["key", "host", "path"])
 
     return run
 
@@ -170,21 +172,22 @@ def literal_slots(slots: list[tuple[int, int, int]]) -> tuple[frozenset, frozens
 
 
 def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
-    """The model of all (host, path, text) rows: two passes, each an aggregate over all of them.
+    """The model of all (host, path, text) rows: one pass over the texts, then aggregates over their digests.
 
     Only what recurs comes to the driver: furniture forms, marks with their contexts, and wordings found on
     pages without content of several hosts and hardly on others; each within a checked bound.
     """
     sc = rows.sparkSession.sparkContext
-    filled = page.fillings(rows)
+    digest = page.digests(rows)
+    filled = page.fillings(digest)
     chrome = frozenset(r[0] for r in _bounded(page.furniture(filled), page.FORMS_BOUND, "furniture forms"))
-    evidence = map_arrow(rows.select("host", "path", "text"), _evidence(sc.broadcast(chrome)), "kind int, a bigint, b bigint, c bigint, n bigint")
-    summed = checkpointed(evidence.groupBy("kind", "a", "b", "c").agg(F.sum("n").alias("n")))
-    slots = _bounded(summed.where("kind = 0").select("a", "b", "n"), MODEL_BOUND, "slots")
-    bare = summed.where("kind = 1").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).groupBy("a").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare"))
-    often = bare.where(F.col("hosts") >= place_hosts)
-    pages = filled.join(often.select(F.col("a").alias("key")), "key", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
-    placed = often.join(pages, often["a"] == pages["key"]).where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("a")
+    marked = digest.where(F.size("mark") > 0).select(F.explode(F.arrays_zip("mark", "context")).alias("m"))
+    slots = _bounded(marked.groupBy("m.mark", "m.context").agg(F.count(F.lit(1)).alias("n")), MODEL_BOUND, "slots")
+    bare = map_arrow(digest.select("host", "path", "key", "prose"), _bare_rows(sc.broadcast(chrome)), "key bigint, host bigint, path bigint")
+    bare = bare.groupBy("key", "host", "path").agg(F.lit(1).alias("one")).groupBy("key", "host").agg(F.count(F.lit(1)).alias("n"))
+    often = checkpointed(bare.groupBy("key").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare")).where(F.col("hosts") >= place_hosts))
+    pages = filled.join(often.select("key"), "key", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
+    placed = often.join(pages, "key").where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("key")
     in_place = frozenset(r[0] for r in _bounded(placed, MODEL_BOUND, "wordings"))
     return Model(chrome, *literal_slots([tuple(r) for r in slots]), in_place)
 
@@ -198,7 +201,7 @@ def _residue(model_b):
             rows = []
             for s, i, t in zip(*(c.to_pylist() for c in b.columns)):
                 t = repair(t)[1]
-                if why := model.residue(t, known):
+                if why := model.residue(Scan(t, known)):
                     rows.append((s, i, why))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate((pa.string(), pa.int64(), pa.string()))], names=["src", "row_id", "reason"])
 
