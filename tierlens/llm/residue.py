@@ -32,10 +32,10 @@ MODEL_BOUND = 2_000_000
 
 MARK = re.compile(
     r"\{\{+[^{}\n]{0,80}\}+\}|\{%[^\n]{0,80}?%\}|<%[^\n]{0,80}?%>|\$\{[^}\n]{0,80}\}|\[\[[^\]\n]{0,80}\]\]|\{[A-Za-z_0-9.]{1,40}\}"
-    r"|%%[A-Za-z_]{2,40}%%|%[A-Z][A-Z_]{2,40}%|@@[A-Za-z_]{2,40}@@|__[A-Z][A-Z_]{2,40}__|##[A-Z_]{2,40}##"
+    r"|\$[A-Z][A-Z_]{2,40}\$|\*\|[A-Z][A-Z_:]{1,40}\|\*|%%[A-Za-z_]{2,40}%%|%[A-Z][A-Z_]{2,40}%|@@[A-Za-z_]{2,40}@@|__[A-Z][A-Z_]{2,40}__|##[A-Z_]{2,40}##"
     r"|\[[A-Za-z][A-Za-z _-]{1,40}\]|<(?:insert|your|enter|add)\b[^<>\n]{1,40}>|\bundefined\b|\bNaN\b|\bX{4,}\b|\b(?:TODO|FIXME|TBD)\b"
 )
-_MARK_SIGNS = ("{", "[", "%", "<", "@@", "__", "##", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD")
+_MARK_SIGNS = ("{", "[", "%", "<", "$", "*|", "@@", "__", "##", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD")
 _CAPITAL = re.compile(rf"^[^\w]*[{page._CAP}]")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _CLAUSE = re.compile(r"\s+[-–—|]\s+|:\s+")
