@@ -64,3 +64,32 @@ BOARD_URLS = {
     "greenhouse": "https://boards.greenhouse.io/%s", "lever": "https://jobs.lever.co/%s", "ashby": "https://jobs.ashbyhq.com/%s", "smartrecruiters": "https://jobs.smartrecruiters.com/%s",
     "workable": "https://apply.workable.com/%s", "recruitee": "https://%s.recruitee.com/", "pinpoint": "https://%s.pinpointhq.com/", "rippling": "https://ats.rippling.com/%s/jobs",
 }
+# Paths of listings one hop from a careers page, and first segments below careers that are no posting.
+LISTING_PATH = r"(?i)(^|/)(jobs?|careers?/jobs?|jobs?-listings?|jobs?-postings?|jobs?-opportunities|open-positions?|open-roles?|current-openings?|vacancies|board)(/|$)"
+DETAIL_PATH = r"(?i)(^|/)(careers?|jobs?)/[^/?#]{4,}"
+NO_DETAIL_PATH = r"(?i)(^|/)(careers?|jobs?)/(culture|benefits?|life|values?|teams?|faq|internships?|students?|volunteers?|partnership|professional-development|privacy|impact|overview|employee-benefits?|student-program|events?|blog|news|leadership)/?$"
+# Careers addresses in sitemaps and robots files; jobs tabs of social networks.
+CAREERS_URL = r"(?i)https?://[^\s\"'<>]*?/(?:careers?|jobs?|hiring|join-?us|join-our-team|open-positions?|open-roles?|current-openings?|vacanc(?:y|ies)?|opportunities|employment|[a-z-]*job[_-]listing[a-z-]*)(?:[/?#][^\s\"'<>]*)?"
+SOCIAL_JOBS = r"(?i)https?://(?:[a-z0-9-]+\.)?(?:linkedin\.com/company/[^/\s\"'<>]+/jobs|wellfound\.com/company/[^/\s\"'<>]+/jobs)"
+# Keys under which embedded JSON names a board.
+BOARD_TOKENS = {
+    "greenhouse": r"(?i)\"(?:greenhouse[_-]?token|gh[_-]?token|board[_-]?token)\"\s*:\s*\"([A-Za-z0-9_-]{2,})\"",
+    "lever": r"(?i)\"(?:lever[_-]?account(?:[_-]?name)?|lever[_-]?site)\"\s*:\s*\"([A-Za-z0-9_-]{2,})\"",
+    "ashby": r"(?i)\"(?:ashby[_-]?(?:org|account|job[_-]?board[_-]?name))\"\s*:\s*\"([A-Za-z0-9_-]{2,})\"",
+}
+# Fixed values: (host, path) patterns of board addresses that are no boards; either may be empty.
+UTILITY_URLS = (
+    (r"^login\.", ""), (r"^admin\.aaimtrack\.com$", ""), (r"^(www\.)?(bamboohr\.com|workable\.com|breezy\.hr|paylocity\.com|pinpointhq\.com)$", ""), (r"^jobseekers\.workable\.com$", r"^/hc/"),
+    (r"\.aaimtrack\.com$", r"/(?:account|help|stats|widget)/|applicant-communication-policy"), (r"\.icims\.com$", r"^(?!/jobs)"), (r"^jobs\.gem\.com$", r"^/gem/embed/*$"),
+    (r"^recruiting\.paylocity\.com$", r"/recruiting/(?:publicleads|bundles)/|/recruiting/jobs/(?:jobnotfound|getlogo)"), (r"^recruiting.*\.ultipro\.com$", r"/(?:accessibility|account/register|authcode/postlogin)(?:/|$)"),
+    (r"\.pinpointhq\.com$", r"/register-your-interest(?:/|$)"), (r"^(app\.|www\.)?rippling\.com$", r"^/legal/|^/products/hr/recruiting/?$|^/recruiting/?$"), ("", r"/share_image/|/jobalerts$|/llms\.txt$|privacy-policy|terms-of-service"),
+    (r"jobvite\.com$", r"/apply$"), (r"^(apply|jobs)\.workable\.com$", r"^/(?:oops|login|error)(?:/|$)"), (r"\.teamtailor\.com$", r"/locations/map_details\b|^/api/|^/admin/"),
+    (r"\.oraclecloud\.com$", r"/hcmui/(?:candidateexperience/sitemaps|candidateexperience/images|afr/blank)"),
+)
+# Terms that make a listing, details of employment, and wordings that open or close a role.
+LISTING_TERMS = ("open roles", "open positions", "current openings", "current job openings", "job openings", "job listing", "job listings", "vacancies", "browse our vacancies", "view current career opportunities", "recruiting process", "greenhouse", "lever", "ashby", "workday", "jobvite", "bamboohr", "workable", "smartrecruiters", "採用", "募集要項", "応募方法", "職種", "待遇")
+DETAIL_TERMS = ("full-time", "full time", "part-time", "part time", "employment type", "remote", "on-site")
+NO_ROLES = r"(?i)\b(?:there are )?currently no (?:open roles?|open positions?|job openings?|positions?|vacancies)\b|\bno (?:open roles?|open positions?|job openings?|positions?|vacancies|jobs) (?:available|at this time)\b|come back later"
+ROLE_CARD = r"(?is)\b(?:view job|apply for this job|apply for this role)\b|\bdepartment\b.{0,240}\b(?:remote|location|office)\b"
+SAME_SITE_ROLE = r"(?is)(?:\b(?:back to all roles?|all roles?)\b.{0,1200}\b(?:team|department)\b.{0,400}\b(?:location|office)\b.{0,400}\bapply\b|\bdepartment\b.{0,500}\boffice\b.{0,500}\bapply\b)|\b[A-Z][A-Za-z0-9&/+',.() -]{3,90}\b.{0,500}\bapply for this role\b"
+JOB_CONTEXT = ("open roles", "open positions", "current openings", "job openings", "job listings", "apply", "job", "role", "position", "responsibilities", "requirements", "qualifications", "nice-to-haves", "greenhouse", "lever", "ashby", "workday", "jobvite", "bamboohr", "smartrecruiters")

@@ -9,6 +9,7 @@ from ..functions import fixed
 from ..functions import text as T
 from ..functions import url as U
 from .boards import board_of
+from .hops import is_utility_url
 
 
 def source_trust(domain: Column, homepage_url: Column, page_url: Column, ok: Column, linked: Column, path: Column, page_type: Column) -> Column:
@@ -17,7 +18,7 @@ def source_trust(domain: Column, homepage_url: Column, page_url: Column, ok: Col
     board = U.under(h, fixed.BOARD_HOSTS)
     official = (page_type == "careers") & (U.page_type(path) == "careers") & (~F.coalesce(path, F.lit("")).rlike("(?i)^https?://") | U.same_or_below(U.host(path), U.host(domain)))
     return (
-        F.when(~F.coalesce(ok, F.lit(False)), F.lit("fetch_failed")).when(F.coalesce(page_url, F.lit("")).rlike(r"[{}]|poweredby"), F.lit("untrusted_external")).when(h == "", F.lit("unknown"))
+        F.when(~F.coalesce(ok, F.lit(False)), F.lit("fetch_failed")).when(is_utility_url(page_url), F.lit("untrusted_external")).when(h == "", F.lit("unknown"))
         .when(U.same_or_below(h, U.host(domain)) | U.same_or_below(h, U.host(homepage_url)), F.lit("company_site"))
         .when(F.coalesce(linked, F.lit(False)) & (board | page_url.rlike("(?i)" + fixed.RECRUITMENT_WORDS)), F.lit("linked_ats_candidate"))
         .when(board & official, F.lit("linked_ats_candidate")).when(U.under(h, fixed.FUNDING_HOSTS), F.lit("trusted_funding_outlet")).otherwise(F.lit("untrusted_external"))
@@ -49,6 +50,27 @@ def typed_hits(page_type: Column, lowered: Column) -> Column:
     return F.filter(F.array(*entries), lambda e: F.coalesce(F.size(e["found"]) > 0, F.lit(False)))
 
 
+def credible_hiring(terms: Column, text: Column, trust: Column) -> Column:
+    """Do the terms of a careers page make a listing, and not the notice that there is none?"""
+    t = F.coalesce(text, F.lit(""))
+    has = lambda ts: F.arrays_overlap(terms, F.array(*[F.lit(x) for x in ts]))
+    apply_ = F.array_contains(terms, "apply")
+    board = t.rlike(r"(?i)https://[^\s]*(?:" + "|".join(h.replace(".", r"\.") for h in fixed.BOARD_HOSTS) + ")/")
+    linked = (trust == "linked_ats_candidate") & (apply_ | has(fixed.DETAIL_TERMS) | board)
+    return ~(t.rlike(fixed.NO_ROLES) & ~t.rlike(fixed.ROLE_CARD)) & (has(fixed.LISTING_TERMS) | linked | ((trust == "company_site") & apply_ & t.rlike(fixed.SAME_SITE_ROLE)))
+
+
+def near_job_context(lowered: Column, terms: Column, reach: int = 450) -> Column:
+    """Does wording of a job stand within ``reach`` characters of one of the terms? The first place of each is looked at."""
+    context = r"\b(?:" + "|".join(fixed.JOB_CONTEXT) + r")\b"
+    def near(t: Column) -> Column:
+        at = F.instr(lowered, t)
+        start = F.greatest(F.lit(1), at - reach)
+        return F.substring(lowered, start, at + F.length(t) + reach - start).rlike(context)
+
+    return F.exists(terms, near)
+
+
 def evidence_rows(pages: DataFrame, homes: DataFrame) -> DataFrame:
     """One row per page and evidence type found, or one of type ``none``; ``homes`` has (domain, url, text) once a domain."""
     h = homes.select("domain", F.col("url").alias("_home_url"), T.hygiene(F.col("text")).alias("domain_hygiene"))
@@ -56,7 +78,9 @@ def evidence_rows(pages: DataFrame, homes: DataFrame) -> DataFrame:
     p = p.withColumn("source_url", F.coalesce("url", "path")).withColumn("source_host", U.host(F.coalesce("url", "path"))).withColumn("ok", F.coalesce("ok", F.lit(False)))
     p = p.withColumn("source_trust", source_trust(F.col("domain"), F.col("_home_url"), F.col("source_url"), F.col("ok"), F.col("linked_from_homepage"), F.col("path"), F.col("page_type")))
     p = p.withColumn("_low", F.lower(F.when(F.col("ok"), F.coalesce("text", F.lit(""))).otherwise(F.lit(""))))
-    p = p.withColumn("_hits", typed_hits(F.col("page_type"), F.col("_low"))).withColumn("_e", F.explode_outer("_hits"))
+    names = lambda e: F.transform(e["found"], lambda x: x["term"])
+    credible = lambda e: F.when(e["kind"] == "hiring_activity", credible_hiring(names(e), F.col("text"), F.col("source_trust"))).when(e["kind"] == "it_ops_hiring", near_job_context(F.col("_low"), names(e))).otherwise(F.lit(True))
+    p = p.withColumn("_hits", F.filter(typed_hits(F.col("page_type"), F.col("_low")), credible)).withColumn("_e", F.explode_outer("_hits"))
     p = p.withColumn("evidence_type", F.coalesce("_e.kind", F.lit("none"))).withColumn("match_count", F.coalesce(T.total(F.col("_e.found")), F.lit(0)))
     p = p.withColumn("matched_terms", F.coalesce(F.transform("_e.found", lambda x: x["term"]), F.array().cast("array<string>")))
     p = p.withColumn("evidence_tier", tier(F.col("domain_hygiene"), F.col("source_trust"), F.col("evidence_type")))
