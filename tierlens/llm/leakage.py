@@ -24,7 +24,7 @@ from .charforms import match_key
 REPLACED = 8
 MIN_SENTENCES = 2
 #: Characters of test texts held by one search; larger test sets are searched in blocks of this size.
-BLOCK_CHARS = 20_000_000
+BLOCK_CHARS = 4_000_000
 
 _SENTENCE_END = re.compile(r"(?<=[.!?…])[»”“\")]*\s+")
 

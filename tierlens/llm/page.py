@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..runtime import checkpointed, map_arrow
 
-#: Rows of the table of furniture forms that are sent to every task; more of them are met by a join.
-FORMS_BOUND = 4_000_000
+#: Furniture forms that may be sent to every task; more of them are an error, never left out.
+FORMS_BOUND = 2_000_000
 #: A line shorter than this is no prose.
 PROSE_CHARS = 40
 #: A form must be seen on so many pages before its hosts' votes count.

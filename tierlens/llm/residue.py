@@ -127,11 +127,12 @@ def site_rows(pages: DataFrame, discovered: DataFrame) -> DataFrame:
     return a.unionByName(b).where(F.col("row_id").isNotNull() & (F.length("text") > 0))
 
 
-def _bounded(df: DataFrame, bound: int, what: str) -> list:
-    got = df.limit(bound + 1).collect()
-    if len(got) > bound:
+def _bounded(df: DataFrame, bound: int, what: str) -> list[tuple]:
+    """The rows of a table that must not be larger than ``bound``, column by column through Arrow."""
+    got = df.limit(bound + 1).toArrow()
+    if got.num_rows > bound:
         raise ValueError(f"more {what} than the bound of {bound}")
-    return got
+    return list(zip(*(c.to_pylist() for c in got.columns)))
 
 
 def _bare_rows(chrome_b):
@@ -189,7 +190,7 @@ def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
     pages = filled.join(often.select("key"), "key", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
     placed = often.join(pages, "key").where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("key")
     in_place = frozenset(r[0] for r in _bounded(placed, MODEL_BOUND, "wordings"))
-    return Model(chrome, *literal_slots([tuple(r) for r in slots]), in_place)
+    return Model(chrome, *literal_slots(slots), in_place)
 
 
 def _residue(model_b):
