@@ -220,6 +220,27 @@ def test_residue_and_bodies(spark):
     assert bodies[next(iter(got))] == "" and bodies[sound[0]].startswith("# The")
 
 
+def test_hosts_keep_their_own_forms(spark, monkeypatch):
+    """A host of most of the pages decides for itself only, with its sets sent to the tasks or joined to the rows."""
+    rng, data, hot = random.Random(7), [], 150
+    name = lambda: "".join(rng.choice(["ka", "lo", "mi", "ru", "te", "vo"]) for _ in range(5)).capitalize()
+    for h in range(8):
+        same = name()
+        for p in range(hot if h == 0 else 6):
+            prose = [f"{name()} sent the {rng.choice(WORDS)} of {rng.choice(WORDS)} to {name()} before the {rng.choice(WORDS)} of {rng.choice(WORDS)} came to town." for _ in range(2)]
+            kept, varied = (f"Partner of the house {name()}", f"Questions go to {same}") if h == 0 else (f"Partner of the house {same}", f"Questions go to {name()}")
+            data.append(("pages", len(data), f"s{h}.test", f"/p{p}", f"Home | About us | Contact\n# The {rng.choice(WORDS)} of {name()}\n{prose[0]}\n{kept}\n{prose[1]}\n{varied}\nPrivacy policy · Terms of use", "en"))
+    df = spark.createDataFrame(data, "src string, row_id long, host string, path string, text string, declared_lang string")
+    for bound in (page.OWN_BOUND, 0):
+        monkeypatch.setattr(page, "OWN_BOUND", bound)
+        model = residue.fit(df)
+        assert (model.own_rows is not None) == (bound == 0)
+        main = defaultdict(set)
+        for r in boilerplate.main_lines(df, model).collect():
+            main[r.row_id].add(r.line_no)
+        assert all(main[i] == ({1, 2, 3, 4} if i < hot else {1, 2, 4, 5}) for i in range(len(data)))
+
+
 def test_empty_site(spark):
     df = _site(spark).limit(0)
     model = residue.fit(df)

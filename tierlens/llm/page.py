@@ -2,24 +2,32 @@
 
 The text of a page has no tags. In the place of a tag-class path a line has a generalised form: what stands
 between its separators, with names and numbers reduced to slots. Hosts vote on every form: where its slots
-keep their filling from page to page of a host, or over all hosts, it is site furniture; where they change
-with every page it is content. The votes are plain aggregates over all pages.
+keep their filling from page to page of a host it is furniture of that host; where they change with every
+page it is content there. Forms that most hosts keep, and forms whose few fillings all hosts share, are
+furniture where a host has too few pages of its own to tell. The votes are plain aggregates over all pages.
 """
 
 from __future__ import annotations
 
 import re
-from pyspark.sql import DataFrame
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import checkpointed, map_arrow
 
 #: Furniture forms that may be sent to every task; more of them are an error, never left out.
 FORMS_BOUND = 2_000_000
+#: The same of single hosts; more of them are joined to the rows instead.
+OWN_BOUND = 2_000_000
 #: A line shorter than this is no prose.
 PROSE_CHARS = 40
 #: A form must be seen on so many pages before its hosts' votes count.
 MIN_PAGES = 4
+#: A host keeps a form where its fillings are at most so large a share of its pages.
+KEPT_SHARE = 0.72
+#: All hosts share a form's fillings where these are at most so large a share of the hosts.
+SHARED_SHARE = 0.3
 
 _CAP = "A-ZÀ-ÖØ-Þ" + "".join(chr(c) for c in range(0x100, 0x180) if chr(c).isupper()) + "А-ЯЁ"
 _NAME = re.compile(rf"[{_CAP}][\w’'-]*(?:\s+[{_CAP}][\w’'-]*)*")
@@ -253,8 +261,8 @@ def _digests(batches):
                             prose.append([f for f, _ in got])
             pairs = [p for p in pairs if p[1]]
             found = set(marks(text)) if may_have_mark(text) else ()
-            out[0].append(h64(host or ""))
-            out[1].append(h64(path or ""))
+            out[0].append(host)
+            out[1].append(path)
             out[2].append([f for f, _ in pairs])
             out[3].append([k for _, k in pairs])
             out[4].append(prose)
@@ -264,12 +272,17 @@ def _digests(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["host", "path", "form", "key", "prose", "mark", "context"])
 
 
+def host_key() -> Column:
+    """The hash by which the votes know a row's host."""
+    return F.xxhash64(F.coalesce("host", F.lit("")))
+
+
 def digests(rows: DataFrame) -> DataFrame:
     """What the votes need of every (host, path, text) row, in hashes: forms and letters of its parts, the forms of
     its lines of prose, its marks with their contexts. The one pass over the texts; checkpointed, for it is read three times.
     """
     schema = "host bigint, path bigint, form array<bigint>, key array<bigint>, prose array<array<bigint>>, mark array<bigint>, context array<bigint>"
-    return checkpointed(map_arrow(rows.where("length(text) > 0").select("host", "path", "text"), _digests, schema))
+    return checkpointed(map_arrow(rows.where("length(text) > 0").select(host_key().alias("host"), F.xxhash64(F.coalesce("path", F.lit(""))).alias("path"), "text"), _digests, schema))
 
 
 def fillings(digest: DataFrame) -> DataFrame:
@@ -279,14 +292,50 @@ def fillings(digest: DataFrame) -> DataFrame:
     return checkpointed(pages.groupBy("form", "key", "host").agg(F.count(F.lit(1)).cast("int").alias("pages")))
 
 
-def furniture(filled: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(form): forms whose fillings stay, by the votes of their hosts or over all hosts."""
-    votes = filled.groupBy("form").agg(
-        F.sum("pages").alias("pages"), F.approx_count_distinct("key", 0.03).alias("fillings"), F.count(F.lit(1)).alias("host_fillings"), F.approx_count_distinct("host", 0.05).alias("hosts")
-    )
-    kept_by_host = (F.col("pages") >= min_pages) & (F.col("host_fillings") <= 0.72 * F.col("pages"))
-    kept_by_all = (F.col("hosts") >= 2) & (F.col("fillings") <= F.greatest(F.lit(1.1), 0.3 * F.col("pages")))
-    return votes.where(kept_by_host | kept_by_all).select("form")
+def host_votes(filled: DataFrame) -> DataFrame:
+    """(form, host, pages, fillings) of every host that has the form."""
+    return checkpointed(filled.groupBy("form", "host").agg(F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("fillings")))
+
+
+def _kept() -> Column:
+    return F.col("fillings") <= KEPT_SHARE * F.col("pages")
+
+
+def furniture(filled: DataFrame, votes: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(form, by_all): forms that are furniture over several hosts; every host has one vote, whatever its pages.
+
+    A form is kept by its hosts if more than half of those with two pages of it keep it. It is kept by all (``by_all``)
+    if its fillings are few for its hosts: a host's one vote is divided evenly over its fillings, and the share of a
+    filling that k hosts have counts 1/k, so that a host adds 1 at most.
+    """
+    told = F.col("pages") >= 2
+    forms = votes.groupBy("form").agg(
+        F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("hosts"), F.count_if(told).alias("told"), F.count_if(told & _kept()).alias("kept")
+    ).where(F.col("hosts") >= 2)
+    shares = filled.join(forms.select("form"), "form", "left_semi").join(votes.select("form", "host", "fillings"), ["form", "host"])
+    keys = shares.groupBy("form", "key").agg((F.sum(1 / F.col("fillings")) / F.count(F.lit(1))).alias("share"))
+    spread = keys.groupBy("form").agg(F.round(F.sum("share"), 6).alias("spread"))
+    by_hosts = (F.col("pages") >= min_pages) & (2 * F.col("kept") > F.col("told"))
+    by_all = F.col("spread") <= F.greatest(F.lit(1.1), SHARED_SHARE * F.col("hosts"))
+    return checkpointed(forms.join(spread, "form").select("form", by_hosts.alias("by_hosts"), by_all.alias("by_all")).where("by_hosts or by_all").drop("by_hosts"))
+
+
+def own_forms(votes: DataFrame, shared: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, form, plus): where a host's own vote on a form differs from that of the hosts: furniture here (``plus``) or content here."""
+    own = votes.where(F.col("pages") >= min_pages).select("host", "form", _kept().alias("plus")).join(shared, "form", "left")
+    return own.where(F.when(F.col("plus"), F.col("by_all").isNull()).otherwise(~F.col("by_all"))).select("host", "form", "plus")
+
+
+class HostForms:
+    """The furniture forms of one host: the shared ones with the host's own differences."""
+
+    __slots__ = ("shared", "plus", "minus")
+
+    def __init__(self, shared: frozenset, plus: frozenset, minus: frozenset):
+        self.shared, self.plus, self.minus = shared, plus, minus
+
+    def __contains__(self, form: int) -> bool:
+        return form in self.plus or (form in self.shared and form not in self.minus)
 
 
 def is_furniture(forms: tuple[int, ...], chrome) -> bool:

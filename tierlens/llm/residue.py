@@ -11,15 +11,15 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import checkpointed, map_arrow
+from ..runtime import checkpointed, map_arrow, salted_join
 from . import page
 from .encoding import repair
-from .page import PROSE_CHARS, Lines, Scan, h64, is_furniture, letters, uncoded
+from .page import PROSE_CHARS, HostForms, Lines, Scan, h64, is_furniture, letters, uncoded
 
 #: A context is literal where one mark makes up so much of at least so many occurrences.
 LITERAL_SHARE, LITERAL_MIN = 0.75, 3
@@ -93,10 +93,32 @@ class Model:
     literal: frozenset[tuple[int, int]]
     literal_marks: frozenset[int]
     in_place: frozenset[int]
-
-    def own_lines(self, scan: Scan) -> tuple[list[str], bool]:
+    #: (forms that are furniture, forms that are content) on a host against ``chrome``
+    own: dict[int, tuple[frozenset[int], frozenset[int]]] = field(default_factory=dict)
+    #: the same as (host, plus, minus), joined to the rows where ``own`` would be beyond the bound
+    own_rows: DataFrame | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"own_rows": None}
+
+    def keyed(self, rows: DataFrame, *columns) -> DataFrame:
+        """The columns of the rows with ``_host``, ``_plus`` and ``_minus``, which ``chrome_of`` takes."""
+        known = "host" in rows.columns
+        out = rows.select(*columns, (page.host_key() if known else F.lit(0).cast("bigint")).alias("_host"))
+        if self.own_rows is None or not known:
+            none = F.lit(None).cast("array<bigint>")
+            return out.withColumns({"_plus": none, "_minus": none})
+        return salted_join(out.withColumn("_by", F.monotonically_increasing_id()), self.own_rows, ["_host"], "_by", "left").select(*[c for c in out.columns], "_plus", "_minus")
+
+    def chrome_of(self, host: int, plus, minus):
+        """The furniture forms of a host."""
+        if plus is None and (own := self.own.get(host) if self.own else None) is None:
+            return self.chrome
+        return HostForms(self.chrome, *(own if plus is None else (frozenset(plus), frozenset(minus))))
+
+    def own_lines(self, scan: Scan, chrome) -> tuple[list[str], bool]:
         """(prose lines, any filler?) of the lines that are no furniture, banners left out."""
-        chrome, sort, prose = self.chrome, scan.known.sort, []
+        sort, prose = scan.known.sort, []
         for raw, forms in zip(scan.lines, scan.forms):
             if len(raw) >= PROSE_CHARS and not is_furniture(forms, chrome):
                 kind = sort(raw)
@@ -106,11 +128,11 @@ class Model:
                     prose.append(raw)
         return prose, False
 
-    def residue(self, scan: Scan) -> str | None:
-        """Why the page is left out: ``slot``, ``filler`` or ``in_place``; None for a sound page."""
+    def residue(self, scan: Scan, chrome) -> str | None:
+        """Why the page is left out: ``slot``, ``filler`` or ``in_place``; None for a sound page. ``chrome``: its host's."""
         if may_have_mark(scan.text) and any((m, c) not in self.literal and m not in self.literal_marks for m, c in marks(scan.text)):
             return "slot"
-        prose, filler = self.own_lines(scan)
+        prose, filler = self.own_lines(scan, chrome)
         if filler:
             return "filler"
         # prose made up of wording in place of content alone is no content either; such wording is short
@@ -135,16 +157,17 @@ def _bounded(df: DataFrame, bound: int, what: str) -> list[tuple]:
     return list(zip(*(c.to_pylist() for c in got.columns)))
 
 
-def _bare_rows(chrome_b):
+def _bare_rows(model_b):
     """(key, host, path) of the wordings on pages without prose of their own."""
 
     def run(batches):
         import pyarrow as pa
 
-        chrome = chrome_b.value
+        model = model_b.value
         for b in batches:
             out: tuple[list, ...] = ([], [], [])
-            for host, path, keys, prose in zip(*(c.to_pylist() for c in b.columns)):
+            for host, path, keys, prose, plus, minus in zip(*(c.to_pylist() for c in b.columns)):
+                chrome = model.chrome_of(host, plus, minus)
                 if all(is_furniture(tuple(forms), chrome) for forms in prose):
                     out[0].extend(keys)
                     out[1].extend([host] * len(keys))
@@ -172,6 +195,19 @@ def literal_slots(slots: list[tuple[int, int, int]]) -> tuple[frozenset, frozens
     return frozenset((m, c) for m, c in pairs if m in literal), literal
 
 
+def _own(model: Model, own: DataFrame) -> None:
+    """Gives the model the hosts' own forms: as sets for every task, or beyond the bound as a table."""
+    own = checkpointed(own)
+    if own.count() > page.OWN_BOUND:
+        forms = lambda plus: F.collect_list(F.when(F.col("plus") == plus, F.col("form")))
+        model.own_rows = checkpointed(own.groupBy(F.col("host").alias("_host")).agg(forms(True).alias("_plus"), forms(False).alias("_minus")))
+        return
+    sets: dict[int, tuple[set, set]] = defaultdict(lambda: (set(), set()))
+    for host, form, plus in zip(*(c.to_pylist() for c in own.toArrow().columns)):
+        sets[host][not plus].add(form)
+    model.own = {h: (frozenset(a), frozenset(b)) for h, (a, b) in sets.items()}
+
+
 def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
     """The model of all (host, path, text) rows: one pass over the texts, then aggregates over their digests.
 
@@ -181,16 +217,25 @@ def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
     sc = rows.sparkSession.sparkContext
     digest = page.digests(rows)
     filled = page.fillings(digest)
-    chrome = frozenset(r[0] for r in _bounded(page.furniture(filled), page.FORMS_BOUND, "furniture forms"))
+    votes = page.host_votes(filled)
+    shared = page.furniture(filled, votes)
+    model = Model(frozenset(r[0] for r in _bounded(shared.select("form"), page.FORMS_BOUND, "furniture forms")), frozenset(), frozenset(), frozenset())
+    _own(model, page.own_forms(votes, shared))
     marked = digest.where(F.size("mark") > 0).select(F.explode(F.arrays_zip("mark", "context")).alias("m"))
     slots = _bounded(marked.groupBy("m.mark", "m.context").agg(F.count(F.lit(1)).alias("n")), MODEL_BOUND, "slots")
-    bare = map_arrow(digest.select("host", "path", "key", "prose"), _bare_rows(sc.broadcast(chrome)), "key bigint, host bigint, path bigint")
+    told = digest.select(F.col("host").alias("_host"), "path", "key", "prose")
+    if model.own_rows is None:
+        told = told.withColumns({c: F.lit(None).cast("array<bigint>") for c in ("_plus", "_minus")})
+    else:
+        told = salted_join(told, model.own_rows, ["_host"], "path", "left")
+    bare = map_arrow(told.select("_host", "path", "key", "prose", "_plus", "_minus"), _bare_rows(sc.broadcast(model)), "key bigint, host bigint, path bigint")
     bare = bare.groupBy("key", "host", "path").agg(F.lit(1).alias("one")).groupBy("key", "host").agg(F.count(F.lit(1)).alias("n"))
     often = checkpointed(bare.groupBy("key").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare")).where(F.col("hosts") >= place_hosts))
     pages = filled.join(often.select("key"), "key", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
     placed = often.join(pages, "key").where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("key")
     in_place = frozenset(r[0] for r in _bounded(placed, MODEL_BOUND, "wordings"))
-    return Model(chrome, *literal_slots(slots), in_place)
+    literal, literal_marks = literal_slots(slots)
+    return replace(model, literal=literal, literal_marks=literal_marks, in_place=in_place)
 
 
 def _residue(model_b):
@@ -200,9 +245,9 @@ def _residue(model_b):
         known, model = Lines(), model_b.value
         for b in batches:
             rows = []
-            for s, i, t in zip(*(c.to_pylist() for c in b.columns)):
+            for s, i, t, *host in zip(*(c.to_pylist() for c in b.columns)):
                 t = repair(t)[1]
-                if why := model.residue(Scan(t, known)):
+                if why := model.residue(Scan(t, known), model.chrome_of(*host)):
                     rows.append((s, i, why))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate((pa.string(), pa.int64(), pa.string()))], names=["src", "row_id", "reason"])
 
@@ -212,4 +257,4 @@ def _residue(model_b):
 def residue_rows(rows: DataFrame, model: Model) -> DataFrame:
     """(src, row_id, reason) of rows with unfilled marks or filler, or with an error text in place of content."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    return map_arrow(rows.select("src", "row_id", "text"), _residue(shared), "src string, row_id bigint, reason string").distinct()
+    return map_arrow(model.keyed(rows, "src", "row_id", "text"), _residue(shared), "src string, row_id bigint, reason string").distinct()
