@@ -61,12 +61,12 @@ def credible_hiring(terms: Column, text: Column, trust: Column) -> Column:
 
 
 def near_job_context(lowered: Column, terms: Column, reach: int = 450) -> Column:
-    """Does wording of a job stand within ``reach`` characters of one of the terms? The first place of each is looked at."""
+    """Does wording of a job stand within ``reach`` characters of a place of one of the terms, as whole words?"""
     context = r"\b(?:" + "|".join(fixed.JOB_CONTEXT) + r")\b"
     def near(t: Column) -> Column:
-        at = F.instr(lowered, t)
-        start = F.greatest(F.lit(1), at - reach)
-        return F.substring(lowered, start, at + F.length(t) + reach - start).rlike(context)
+        place = F.concat(F.lit(rf"(?s)(?<=(\A.{{0,{reach - 1}}}|.{{{reach}}}))\b\Q"), t, F.lit(rf"\E\b(?=(.{{0,{reach}}}))"))
+        around = F.zip_with(F.regexp_extract_all(lowered, place, F.lit(1)), F.regexp_extract_all(lowered, place, F.lit(2)), lambda a, z: F.concat(a, t, z))
+        return F.exists(around, lambda x: x.rlike(context))
 
     return F.exists(terms, near)
 
