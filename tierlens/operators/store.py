@@ -25,12 +25,16 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], version: str) -> Dat
     return latest(both, keys, version, ["_gen"]).drop("_gen")
 
 
-def upsert_pages(pages: DataFrame, version: str = "fetched_at", cap: int = 250_000, ties: tuple[str, ...] = ("dpage_id",)) -> DataFrame:
-    """Discovered pages by (domain, page key): the latest fetch, with ``linked_from_homepage`` true once it ever was."""
+def upsert_pages(pages: DataFrame, version: str = "fetched_at", cap: int | None = None, ties: tuple[str, ...] = ("dpage_id",)) -> DataFrame:
+    """Discovered pages by (domain, page key): the latest fetch, with ``linked_from_homepage`` true once it ever was.
+
+    ``cap`` cuts every text to so many characters, as the reference's store does; without it texts stay whole.
+    """
     keyed = pages.withColumn("path", U.page_key(F.col("path")))
     last = latest(keyed, ["domain", "path"], version, [t for t in ties if t in pages.columns])
     linked = keyed.groupBy("domain", "path").agg(F.max(F.coalesce("linked_from_homepage", F.lit(False))).alias("_linked"))
-    return last.join(linked, ["domain", "path"]).withColumn("linked_from_homepage", F.col("_linked")).withColumn("text", F.substring("text", 1, cap)).drop("_linked")
+    out = last.join(linked, ["domain", "path"]).withColumn("linked_from_homepage", F.col("_linked")).drop("_linked")
+    return out if cap is None else out.withColumn("text", F.substring("text", 1, cap))
 
 
 def replace_groups(old: DataFrame, new: DataFrame, group: list[str], key: list[str], version: str) -> DataFrame:
