@@ -252,6 +252,14 @@ def test_literal_slots():
     assert residue.literal_slots(rows_) == (frozenset({(1, 7)}), frozenset({1}))
 
 
+def test_marks_are_wording_by_context_and_hosts(spark):
+    """One host's repeated template and a mark that a documentation quotes elsewhere are slots all the same."""
+    data = [(f"doc{i}.test", "/d", "The manual writes {{first_name}} where the reader stands.") for i in range(9)]
+    data += [("shop.test", f"/p{i}", "Welcome back dear {{city}} friend of ours.") for i in range(5)] * 2 + [("letter.test", "/", "Good morning to {{first_name}} from us all.")]
+    df = spark.createDataFrame([("pages", i, h, p, t) for i, (h, p, t) in enumerate(data)], "src string, row_id long, host string, path string, text string")
+    assert [r.row_id for r in residue.residue_rows(df, residue.fit(df)).where("reason = 'slot'").orderBy("row_id").collect()] == list(range(9, 20))
+
+
 def test_forms():
     assert page.form_of("Find us in Nefen, 12") == page.form_of("Find us in Katu Bay 9")
     assert page.form_of("HOME") == "=home" and page.parts_of("» a | b ›") == ["a", "b"] and page.parts_of(" - ") == []

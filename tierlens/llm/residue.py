@@ -1,8 +1,7 @@
 """Template residue and error-page text (problem 3).
 
-Records of the same template are aligned by the words around a mark: where the mark's place holds always
-the same mark, it is part of the wording (a text that speaks of placeholders); where it varies or stands
-alone it is a slot that kept its variable name or default. Whole-page templates are induced from the
+Records of the same template are aligned by the words around a mark: where the mark's place holds the same
+mark on several hosts, it is part of the wording (a text that speaks of placeholders); anywhere else it is a slot that kept its variable name or default. Whole-page templates are induced from the
 pages without content of their own: wording that recurs over hosts on such pages and hardly ever beside
 real content stands in the place of content (errors, access checks, demands for scripts, sample text).
 """
@@ -21,7 +20,7 @@ from . import page
 from .encoding import repair
 from .page import PROSE_CHARS, HostForms, Lines, Scan, h64, is_furniture, letters, uncoded
 
-#: A context is literal where one mark makes up so much of at least so many occurrences.
+#: A context is literal where one mark makes up so much of its (mark, host) pairs, on at least so many hosts.
 LITERAL_SHARE, LITERAL_MIN = 0.75, 3
 #: Wording in place of content: hosts it must recur on, and share of its pages that have no content.
 PLACE_HOSTS, PLACE_SHARE = 2, 0.8
@@ -37,12 +36,14 @@ MARK = re.compile(
 )
 _MARK_SIGNS = ("{", "[", "%", "<", "$", "*|", "@@", "__", "##", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD")
 _CAPITAL = re.compile(rf"^[^\w]*[{page._CAP}]")
+_SIGNS = re.compile(r"[\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _CLAUSE = re.compile(r"\s+[-–—|]\s+|:\s+")
 
 
 def _near(words: list[str]) -> str:
-    return " ".join("N" if _CAPITAL.match(w) else "0" if w[:1].isdigit() else w.lower() for w in words)
+    bare = [k for w in words if (k := _SIGNS.sub("", w))]
+    return " ".join("0" if w[0].isdigit() else w.lower() if len(w) > 1 and w.isupper() else "N" if _CAPITAL.match(w) else w for w in bare)
 
 
 def may_have_mark(text: str) -> bool:
@@ -91,7 +92,6 @@ class Model:
 
     chrome: frozenset[int]
     literal: frozenset[tuple[int, int]]
-    literal_marks: frozenset[int]
     in_place: frozenset[int]
     #: (forms that are furniture, forms that are content) on a host against ``chrome``
     own: dict[int, tuple[frozenset[int], frozenset[int]]] = field(default_factory=dict)
@@ -130,7 +130,7 @@ class Model:
 
     def residue(self, scan: Scan, chrome) -> str | None:
         """Why the page is left out: ``slot``, ``filler`` or ``in_place``; None for a sound page. ``chrome``: its host's."""
-        if may_have_mark(scan.text) and any((m, c) not in self.literal and m not in self.literal_marks for m, c in marks(scan.text)):
+        if may_have_mark(scan.text) and any((m, c) not in self.literal for m, c in marks(scan.text)):
             return "slot"
         prose, filler = self.own_lines(scan, chrome)
         if filler:
@@ -178,21 +178,16 @@ def _bare_rows(model_b):
 
 
 def literal_slots(slots: list[tuple[int, int, int]]) -> tuple[frozenset, frozenset]:
-    """((mark, context) pairs and marks that are wording) of (mark, context, count) rows.
+    """((mark, context) pairs that are wording, and the marks they have) of (mark, context, hosts) rows.
 
-    A context is literal where one mark fills it nearly always; a mark is where nearly all its contexts are.
+    A context is literal where one mark fills it nearly always, by its hosts; any other place of the mark is a slot.
     """
     by_context: dict[int, Counter] = defaultdict(Counter)
-    per_mark, in_literal = Counter(), Counter()
     for m, c, n in slots:
-        per_mark[m] += n
         if c:
             by_context[c][m] += n
-    pairs = [(m, c) for c, ms in by_context.items() for m, n in ms.items() if n >= LITERAL_MIN and n >= LITERAL_SHARE * sum(ms.values())]
-    for m, c in pairs:
-        in_literal[m] += by_context[c][m]
-    literal = frozenset(m for m, n in in_literal.items() if n >= LITERAL_SHARE * per_mark[m])
-    return frozenset((m, c) for m, c in pairs if m in literal), literal
+    pairs = frozenset((m, c) for c, ms in by_context.items() for m, n in ms.items() if n >= LITERAL_MIN and n >= LITERAL_SHARE * sum(ms.values()))
+    return pairs, frozenset(m for m, _ in pairs)
 
 
 def _own(model: Model, own: DataFrame) -> None:
@@ -219,10 +214,12 @@ def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
     filled = page.fillings(digest)
     votes = page.host_votes(filled)
     shared = page.furniture(filled, votes)
-    model = Model(frozenset(r[0] for r in _bounded(shared.select("form"), page.FORMS_BOUND, "furniture forms")), frozenset(), frozenset(), frozenset())
+    model = Model(frozenset(r[0] for r in _bounded(shared.select("form"), page.FORMS_BOUND, "furniture forms")), frozenset(), frozenset())
     _own(model, page.own_forms(votes, shared))
-    marked = digest.where(F.size("mark") > 0).select(F.explode(F.arrays_zip("mark", "context")).alias("m"))
-    slots = _bounded(marked.groupBy("m.mark", "m.context").agg(F.count(F.lit(1)).alias("n")), MODEL_BOUND, "slots")
+    marked = digest.where(F.size("mark") > 0).select("host", F.explode(F.arrays_zip("mark", "context")).alias("m"))
+    marked = checkpointed(marked.groupBy("m.mark", "m.context", "host").agg(F.lit(1).alias("one")).groupBy("mark", "context").agg(F.count(F.lit(1)).alias("n")))
+    recur = marked.groupBy("context").agg(F.max("n").alias("most")).where((F.col("most") >= LITERAL_MIN) & (F.col("context") != 0))
+    slots = _bounded(marked.join(recur, "context", "left_semi").select("mark", "context", "n"), MODEL_BOUND, "slots")
     told = digest.select(F.col("host").alias("_host"), "path", "key", "prose")
     if model.own_rows is None:
         told = told.withColumns({c: F.lit(None).cast("array<bigint>") for c in ("_plus", "_minus")})
@@ -234,8 +231,7 @@ def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
     pages = filled.join(often.select("key"), "key", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
     placed = often.join(pages, "key").where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("key")
     in_place = frozenset(r[0] for r in _bounded(placed, MODEL_BOUND, "wordings"))
-    literal, literal_marks = literal_slots(slots)
-    return replace(model, literal=literal, literal_marks=literal_marks, in_place=in_place)
+    return replace(model, literal=literal_slots(slots)[0], in_place=in_place)
 
 
 def _residue(model_b):
