@@ -158,7 +158,7 @@ def _bounded(df: DataFrame, bound: int, what: str) -> list[tuple]:
 
 
 def _bare_rows(model_b):
-    """(key, host, path) of the wordings on pages without prose of their own."""
+    """(key, host, path) of the wordings on pages without prose of their own, and with key 0 of each such page."""
 
     def run(batches):
         import pyarrow as pa
@@ -169,9 +169,9 @@ def _bare_rows(model_b):
             for host, path, keys, prose, plus, minus in zip(*(c.to_pylist() for c in b.columns)):
                 chrome = model.chrome_of(host, plus, minus)
                 if all(is_furniture(tuple(forms), chrome) for forms in prose):
-                    out[0].extend(keys)
-                    out[1].extend([host] * len(keys))
-                    out[2].extend([path] * len(keys))
+                    out[0].extend([0, *keys])
+                    out[1].extend([host] * (len(keys) + 1))
+                    out[2].extend([path] * (len(keys) + 1))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["key", "host", "path"])
 
     return run
@@ -227,7 +227,13 @@ def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
         told = salted_join(told, model.own_rows, ["_host"], "path", "left")
     bare = map_arrow(told.select("_host", "path", "key", "prose", "_plus", "_minus"), _bare_rows(sc.broadcast(model)), "key bigint, host bigint, path bigint")
     bare = bare.groupBy("key", "host", "path").agg(F.lit(1).alias("one")).groupBy("key", "host").agg(F.count(F.lit(1)).alias("n"))
-    often = checkpointed(bare.groupBy("key").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare")).where(F.col("hosts") >= place_hosts))
+    bare = checkpointed(bare)
+    # a template of one host: on several paths of a host most of whose pages have content
+    sizes = digest.groupBy("host", "path").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("size"))
+    mixed = bare.where("key = 0").join(sizes, "host").where(2 * F.col("n") < F.col("size")).select("host", F.lit(True).alias("mixed"))
+    wide = bare.where("key <> 0").groupBy("key").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare"), F.min("host").alias("host"))
+    wide = wide.where((F.col("hosts") >= place_hosts) | (F.col("bare") >= page.MIN_PAGES)).join(mixed, "host", "left")
+    often = checkpointed(wide.where((F.col("hosts") >= place_hosts) | F.col("mixed")).select("key", "bare"))
     pages = filled.join(often.select("key"), "key", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
     placed = often.join(pages, "key").where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("key")
     in_place = frozenset(r[0] for r in _bounded(placed, MODEL_BOUND, "wordings"))
