@@ -175,9 +175,51 @@ def test_mixed_and_lost_text():
     assert encoding.repair("Wiosn¹ nasz zespó³ zast¹pi³ dawny dzia³ zamówieñ.")[1] == "Wiosną nasz zespół zastąpił dawny dział zamówień."
 
 
+NEVER_DAMAGED = (
+    "Temperatur 5°C ± 2", "100 % – ok™ ®", "§5 Abs. 2 StGB, 30µg/m³ Luft", "Île-de-France McÉwan", "The Å, ÄÖÜ and ØÆÅ letters", "x→y", "½ of α", "Türkçe ığdır şöyle", "ăâîșț în română", "Việt Nam đẹp",
+    "Україна їжак ґанок є", "äöüß éèêë", "Dvořák and Gdańsk, São Paulo, Ærø", "Straße 5¾ ½l 3½", "日本語 テキスト", "αβγ δεζ Ωmega", "r² = 0,9 · m² km³", "¿Qué? ¡Sí! «hola» »hallo«", "Home » About › Us", "l·lada paral·lel",
+    "Nº 5, 2ª planta, 1º", "€5 £6 ¥7 5€", "DeÁngelis O’Érico L’Été d’Ålesund", "a≤b≥c √2 ∑x ∞", "naïve café – “quoted” ‘single’", "Müller & Søn, Škoda, Łódź",
+)
+
+
+@pytest.mark.parametrize("text", NEVER_DAMAGED)
+def test_signs_and_other_languages_are_sound(text):
+    assert encoding.repair(text) == (False, text, False) == encoding.repair(text, _speller())
+
+
+@given(st.text(alphabet=st.one_of(st.characters(min_codepoint=0x370, max_codepoint=0x3FF), st.characters(min_codepoint=0x590, max_codepoint=0x6FF), st.characters(min_codepoint=0x3040, max_codepoint=0x30FF), st.sampled_from(" .,°§™±µ²³→")), max_size=40))
+@settings(max_examples=200, deadline=None)
+def test_other_scripts_are_never_damage(text):
+    assert encoding.repair(text, _speller())[1] == text
+
+
+def _speller():
+    return encoding.Speller.of([*SOUND, *(s.upper() for s in SOUND)] * 3)
+
+
+@pytest.mark.parametrize("wrote, read", encoding.SWAPS)
+def test_pairs_of_one_byte_encodings(wrote, read):
+    """Whatever is called complete is right; a whole line in words of the corpus is found and restored."""
+    for text in SOUND[:5]:
+        try:
+            bad = encoding.read_as(text.encode(wrote), read)
+        except UnicodeEncodeError:
+            continue
+        damaged, fixed, complete = encoding.repair(bad, _speller())
+        assert not complete or fixed == text or not damaged, (bad, fixed)
+
+
+def test_only_matched_spans_change():
+    text = "Sound é, 5°C ± 2, McÉwan\n§ 5 Ã© → x\nİstanbul ığdır"
+    assert encoding.repair(text) == (True, text.replace("Ã©", "é"), True)
+    polish = "Wiosn¹ nasz zespó³ zast¹pi³ Müller"
+    assert encoding.repair(polish)[1] == "Wiosną nasz zespół zastąpił Müller"
+
+
 def test_damaged_rows(spark):
-    df = spark.createDataFrame([("pages", 1, "dÃ©jÃ\xa0"), ("pages", 1, "dÃ©jÃ\xa0"), ("pages", 2, None), ("pages", 3, "")], "src string, row_id long, text string")
-    assert rows(encoding.damaged_rows(df)) == [("pages", 1, "déjà", True)]
+    df = spark.createDataFrame([("pages", 1, "h", "/", "dÃ©jÃ\xa0"), ("pages", 1, "h", "/", "dÃ©jÃ\xa0"), ("pages", 2, "h", "/", None), ("pages", 3, "h", "/", ""), ("pages", 4, None, None, "été")], "src string, row_id long, host string, path string, text string")
+    assert rows(encoding.damaged_rows(residue.Site(df))) == [("pages", 1, "déjà", True)]
+    assert encoding.damaged_rows(residue.Site(df.limit(0))).count() == 0
 
 
 # ---------------------------------------------------------------- 3 and 4: pages
@@ -203,25 +245,30 @@ def _site(spark):
     return spark.createDataFrame(data, "src string, row_id long, host string, path string, text string, declared_lang string")
 
 
+def _found(df, reason="slot"):
+    return [r.row_id for r in residue.Site(df).residue.where(F.col("reason") == reason).collect()]
+
+
 def test_residue_and_bodies(spark):
     df = _site(spark)
-    model = residue.fit(df)
-    got = {r.row_id: r.reason for r in residue.residue_rows(df, model).collect()}
+    site = residue.Site(df)
+    got = {r.row_id: r.reason for r in site.residue.collect()}
     text = {r.row_id: r.text for r in df.collect()}
     assert {i for i, t in text.items() if "Access denied" in t and "{{" not in t and "Lorem" not in t} == {i for i, r in got.items() if r == "in_place"}
     assert {i for i, t in text.items() if "{{thing}}" in t} == {i for i, r in got.items() if r == "slot"}
     assert {i for i, t in text.items() if "Lorem" in t and "{{" not in t} == {i for i, r in got.items() if r == "filler"}
-    main = defaultdict(set)
-    for r in boilerplate.main_lines(df, model).collect():
-        main[r.row_id].add(r.line_no)
-    sound = [i for i in text if i < 900 and i not in got]
-    assert sound and all(main[i] == {1, 2, 3, 4} for i in sound)
-    bodies = {r.row_id: r.text for r in boilerplate.main_bodies(df, model).collect()}
-    assert bodies[next(iter(got))] == "" and bodies[sound[0]].startswith("# The")
+    for limit in (400_000, 0):  # winning forms as sets, or joined to the rows
+        main = defaultdict(set)
+        for r in boilerplate.main_lines(site, limit).collect():
+            main[r.row_id].add(r.line_no)
+        sound = [i for i in text if i < 900 and i not in got]
+        assert sound and all(main[i] == {1, 2, 3, 4} for i in sound)
+    bodies = {r.row_id: r.text for r in boilerplate.main_bodies(site).collect()}
+    assert bodies[next(iter(got))] == "" and bodies[sound[0]].startswith("# The") and len(bodies) == len(set(text) - {900}) + (900 in bodies)
 
 
-def test_hosts_keep_their_own_forms(spark, monkeypatch):
-    """A host of most of the pages decides for itself only, with its sets sent to the tasks or joined to the rows."""
+def test_hosts_keep_their_own_forms(spark):
+    """A host of most of the pages decides for itself only, and two hosts may use one form differently."""
     rng, data, hot = random.Random(7), [], 150
     name = lambda: "".join(rng.choice(["ka", "lo", "mi", "ru", "te", "vo"]) for _ in range(5)).capitalize()
     for h in range(8):
@@ -231,38 +278,85 @@ def test_hosts_keep_their_own_forms(spark, monkeypatch):
             kept, varied = (f"Partner of the house {name()}", f"Questions go to {same}") if h == 0 else (f"Partner of the house {same}", f"Questions go to {name()}")
             data.append(("pages", len(data), f"s{h}.test", f"/p{p}", f"Home | About us | Contact\n# The {rng.choice(WORDS)} of {name()}\n{prose[0]}\n{kept}\n{prose[1]}\n{varied}\nPrivacy policy · Terms of use", "en"))
     df = spark.createDataFrame(data, "src string, row_id long, host string, path string, text string, declared_lang string")
-    for bound in (page.OWN_BOUND, 0):
-        monkeypatch.setattr(page, "OWN_BOUND", bound)
-        model = residue.fit(df)
-        assert (model.own_rows is not None) == (bound == 0)
+    site = residue.Site(df)
+    for limit in (400_000, 0):
         main = defaultdict(set)
-        for r in boilerplate.main_lines(df, model).collect():
+        for r in boilerplate.main_lines(site, limit).collect():
             main[r.row_id].add(r.line_no)
         assert all(main[i] == ({1, 2, 3, 4} if i < hot else {1, 2, 4, 5}) for i in range(len(data)))
 
 
+def test_joins_beyond_every_bound(spark, monkeypatch):
+    """With no table small enough to broadcast the joins are salted, and the results are the same."""
+    df = _site(spark)
+    site = residue.Site(df)
+    want = rows(site.residue), rows(boilerplate.main_lines(site))
+    from tierlens import runtime
+
+    monkeypatch.setattr(runtime.lookup_join, "__defaults__", (0,))
+    monkeypatch.setattr(page, "BROADCAST_ROWS", 0)
+    other = residue.Site(df, site.digest)
+    assert (rows(other.residue), rows(boilerplate.main_lines(other, 0))) == want
+
+
 def test_empty_site(spark):
-    df = _site(spark).limit(0)
-    model = residue.fit(df)
-    assert residue.residue_rows(df, model).count() == boilerplate.main_lines(df, model).count() == 0
+    site = residue.Site(_site(spark).limit(0))
+    assert site.residue.count() == boilerplate.main_lines(site).count() == boilerplate.main_bodies(site).count() == 0
+
+
+def _pages(spark, texts):
+    """One page each, on hosts and paths of their own where none is given."""
+    data = [("pages", i, t[0] if isinstance(t, tuple) else f"h{i}.test", f"/{i}", t[-1] if isinstance(t, tuple) else t) for i, t in enumerate(texts)]
+    return spark.createDataFrame(data, "src string, row_id long, host string, path string, text string")
+
+
+@pytest.mark.parametrize("line", [
+    "Hello {{first_name}}, welcome back to our shop.", "Dear [Customer Name], thank you for your order of today.", "Sold by Shop Ltd, {{city}}", "Hello %s, your parcel is on its way to you.", "Hello :name, your parcel is on its way.",
+    "Hello @Model.Name, your parcel is on its way.", "Hello <?php echo $n ?>, your parcel is on its way.", "Hello FIRSTNAME, your parcel is on its way.", "Dear , your parcel is on its way.",
+])
+def test_template_never_filled(spark, line):
+    """All pages of a template keep the variable: all are found, on one host or on many."""
+    texts = [("one.test", line) for _ in range(12)] + [line.replace("parcel", "letter") for _ in range(12)] + ["The weather of the week was fine and the harvest went well."] * 3
+    assert set(_found(_pages(spark, texts))) == set(range(24))
+
+
+def test_filled_records_give_the_slot_away(spark):
+    """A place that other pages fill with names is a slot, whatever the page left in it."""
+    name = lambda i: "Ka" + "".join(chr(97 + int(d)) for d in str(i))
+    texts = [f"The audit of {name(i)} was closed in {name(i * 7)} before the winter came." for i in range(12)]
+    left = ["undefined", "[object Object]", "{0}", "TODO", "$FIRSTNAME$", "[TBD]"]
+    texts += [f"The audit of {x} was closed in {name(i)} before the winter came." for i, x in enumerate(left)]
+    texts += ["Dear Kalo, your order is ready.", "Dear Mira, your order is ready.", "Dear , your order is ready."]
+    assert set(_found(_pages(spark, texts))) == {*range(12, 18), 20}
+
+
+def test_wording_about_marks_is_sound(spark):
+    """Where the rest of the unit changes and the mark stays, the text speaks of it; so it does between quotation marks and in code."""
+    name = lambda i: "Lo" + "".join(chr(97 + int(d)) for d in str(i))
+    texts = [f"In the editor of {name(i)}, a tag such as {{{{first_name}}}} is swapped for the name of the reader." for i in range(9)]
+    texts += ['The guide writes "{{city}}" where a town belongs.', "Type `%s` to print a string of the program.", "Your privacy choices are yours. [Settings] [I agree]"] + ["USE ALL YOU LIKE. [SETTINGS] [I AGREE]"] * 4
+    assert _found(_pages(spark, texts)) == []
+    assert set(_found(_pages(spark, [*texts, "Good morning to {{first_name}} from us all."]))) == {len(texts)}
 
 
-def test_literal_slots():
-    rows_ = [(1, 7, 9), (2, 8, 1), (3, 8, 1), (4, 8, 1)]
-    assert residue.literal_slots(rows_) == (frozenset({(1, 7)}), frozenset({1}))
+def test_a_row_delivered_twice_counts_once(spark):
+    """Three deliveries of one page are no three pages."""
+    df = _pages(spark, ["Read the [company note] here and then go on to the next page."])
+    assert _found(df.union(df).union(df)) == []
 
 
-def test_marks_are_wording_by_context_and_hosts(spark):
-    """One host's repeated template and a mark that a documentation quotes elsewhere are slots all the same."""
-    data = [(f"doc{i}.test", "/d", "The manual writes {{first_name}} where the reader stands.") for i in range(9)]
-    data += [("shop.test", f"/p{i}", "Welcome back dear {{city}} friend of ours.") for i in range(5)] * 2 + [("letter.test", "/", "Good morning to {{first_name}} from us all.")]
-    df = spark.createDataFrame([("pages", i, h, p, t) for i, (h, p, t) in enumerate(data)], "src string, row_id long, host string, path string, text string")
-    assert [r.row_id for r in residue.residue_rows(df, residue.fit(df)).where("reason = 'slot'").orderBy("row_id").collect()] == list(range(9, 20))
+def test_long_error_pages(spark):
+    """Error texts of any length and number of lines stand in place of content."""
+    error = "The server could not answer this call because the upstream closed its door. Wait a while and load the page again, or write to the people who run it and tell them what you did, when you did it, and which way you came here, so that they can look for the cause of it."
+    body = lambda i: f"# Letter {chr(97 + i)}\nThe gardener of house {chr(97 + i)} sent {'x' * (i + 2)} seeds to the village before winter came."
+    texts = [(f"h{h}.test", body(h * 4 + p)) for h in range(4) for p in range(4)] + [(f"h{h}.test", "\n".join([error] * 3)) for h in range(4)]
+    assert set(_found(_pages(spark, texts), "in_place")) == set(range(16, 20))
 
 
 def test_forms():
-    assert page.form_of("Find us in Nefen, 12") == page.form_of("Find us in Katu Bay 9")
-    assert page.form_of("HOME") == "=home" and page.parts_of("» a | b ›") == ["a", "b"] and page.parts_of(" - ") == []
+    form = lambda s: page.form_and_letters(s)[0]
+    assert form("Find us in Nefen, 12") == form("Find us in Katu Bay 9")
+    assert form("HOME") == "=home" and page.parts_of("» a | b ›") == ["a", "b"] and page.parts_of(" - ") == []
 
 
 # ---------------------------------------------------------------- 2: languages
@@ -299,8 +393,7 @@ def test_passages_and_rows(spark):
     got = language.passages([text, "", "12 34"], m)
     assert [(p[0], p[1], p[2]) for p in got[0]] == [(0, 0, "en"), (1, 1, "de")] and got[1] == [] and got[2] == []
     df = spark.createDataFrame([("pages", 1, text, "en-GB"), ("pages", 1, text, "en-GB"), ("pages", 2, text, None), ("pages", 3, "short", "en")], "src string, row_id long, text string, declared_lang string")
-    model = residue.Model(frozenset(), frozenset(), frozenset(), frozenset())
-    assert rows(language.mislabelled_rows(df, m, model)) == [("pages", 1, "de"), ("pages", 2, "de"), ("pages", 2, "en")]
+    assert rows(language.mislabelled_rows(df.withColumn("host", F.lit("h")).withColumn("path", F.lit("/")), m)) == [("pages", 1, "de"), ("pages", 2, "de"), ("pages", 2, "en")]
     assert {(r.row_id, r.lang) for r in language.row_languages(df, m).where("row_id < 3").collect()} <= {(1, "en"), (1, "de"), (2, "en"), (2, "de")}
     label = lambda x: spark.createDataFrame([(x,)], "v string").select(language.named_language(F.col("v"))).first()[0]
     assert [label(x) for x in ("DE", "deu", "de_AT", "und", " ", None, "unknown", "nl-BE")] == ["de", "de", "de", None, None, None, None, "nl"]

@@ -17,5 +17,5 @@ def test_template_of_one_host(spark):
                 body = ""
             data.append(("pages", len(data), f"s{h}.test", f"/p{p}", f"{menu}\n{body}\nPrivacy policy · Terms of use"))
     df = spark.createDataFrame(data, "src string, row_id long, host string, path string, text string")
-    got = residue.residue_rows(df, residue.fit(df)).orderBy("row_id").collect()
+    got = residue.Site(df).residue.orderBy("row_id").collect()
     assert [(r.row_id, r.reason) for r in got] == [(i, "in_place") for i in range(6)]

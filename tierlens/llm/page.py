@@ -5,6 +5,9 @@ between its separators, with names and numbers reduced to slots. Hosts vote on e
 keep their filling from page to page of a host it is furniture of that host; where they change with every
 page it is content there. Forms that most hosts keep, and forms whose few fillings all hosts share, are
 furniture where a host has too few pages of its own to tell. The votes are plain aggregates over all pages.
+
+One pass reads the texts (``digests``). Its table has, for every row, hashes of forms and letters line by line,
+and all later steps work on these hashes: votes, the winners a row meets, and the roles of its lines.
 """
 
 from __future__ import annotations
@@ -14,12 +17,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import checkpointed, map_arrow
+from ..runtime import BROADCAST_ROWS, lookup_join, map_arrow, stored, weighted_join
 
-#: Furniture forms that may be sent to every task; more of them are an error, never left out.
-FORMS_BOUND = 2_000_000
-#: The same of single hosts; more of them are joined to the rows instead.
-OWN_BOUND = 2_000_000
 #: A line shorter than this is no prose.
 PROSE_CHARS = 40
 #: A form must be seen on so many pages before its hosts' votes count.
@@ -29,30 +28,31 @@ KEPT_SHARE = 0.72
 #: All hosts share a form's fillings where these are at most so large a share of the hosts.
 SHARED_SHARE = 0.3
 
-_CAP = "A-ZÀ-ÖØ-Þ" + "".join(chr(c) for c in range(0x100, 0x180) if chr(c).isupper()) + "А-ЯЁ"
-_NAME = re.compile(rf"[{_CAP}][\w’'-]*(?:\s+[{_CAP}][\w’'-]*)*")
-_NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
-_PUNCT = re.compile(r"[^\w\s’'-]+")
+_WORD = re.compile(r"\w+")
 # a made-up code or an address: five consonants in a row, a leading slash, a mail address
 CODE = re.compile(r"(?<!\S)/\S+|\S+@\S+|\b[a-z0-9]*[bcdfghjklmnpqrstvwxz]{5,}[a-z0-9]*\b")
+_MAYBE_CODE = re.compile(r"[bcdfghjklmnpqrstvwxz]{5}|[@/]")
 # The syllables that filler in the manner of "lorem ipsum" is made of.
 SYLLABLES = "lo rem ip ips sum do lor sit a am met con sec te tet tur ad pi pis sci sc cing el eli it lit se sed ei us eius mod tem por in ci cid di dunt ut la lab bo re et unt du id tam ti um mag na ali qua men ven quis nos trud ex er ul lam co ris ni si ea com mo quat ir ure vo lup ta ve es cil fu gi at nul pa ri"
 _FILLER_WORD = re.compile(f"(?:{'|'.join(sorted(set(SYLLABLES.split()), key=lambda x: -len(x)))})+$")
-_WORD = re.compile(r"[^\W\d_]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 FILLER_WORDS, FILLER_SHARE = 5, 0.8
 _DECOR_FRONT, _DECOR_BACK = " *•-–—>»›#·|\t\r", " ›»|·\t\r"
 _PARTS = re.compile(r"\s+[|»·›]\s+|\s+[/>]\s+|\s{2,}|\t")
 _SEPARATOR = re.compile(r"[|»·›\t]|\s{2}| [/>] ")
-_LOWER = re.compile(r"[^\W\d_A-ZА-ЯЁ]{2}")
 BULLET = re.compile(r"^\s*(?:[*•\-–>]|\d+[.)])\s+")
+_BYLINE = re.compile(r"(?:,\s*(?:19|20)\d\d|[|·]\s*\d+\s+\S+(?:\s+\S+){0,3})\s*$")
+#: Where a line of prose is divided into clauses, and these into sentences; a unit is a sentence of a clause.
+_CLAUSE = re.compile(r"\s+[-–—|]\s+|:\s+")
+_SENTENCE = re.compile(r"(?<=[.!?…])[»”“\"’)]*\s+")
+#: A unit with fewer letters than this says nothing by itself.
+UNIT_LETTERS = 12
+#: A longer part is furniture only where its very letters recur; its form is made of its units' letters.
+_LONG = 140
 
-
-_MAYBE_CODE = re.compile(r"[bcdfghjklmnpqrstvwxz]{5}|[@/]")
-
-
-def uncoded(s: str, by: str = " ") -> str:
-    """The string with its made-up codes and addresses replaced."""
-    return CODE.sub(by, s) if _MAYBE_CODE.search(s) else s
+# what a line is, by itself; the number of its parts stands above these bits
+PROSE, FILLER, BANNER, CAPS, HEADED, THREE, BULLETED, ENTRY, BYLINE, OPENS, QUOTED = (1 << i for i in range(11))
+_PARTS_AT = 12
 
 
 def bare(line: str) -> str:
@@ -60,10 +60,6 @@ def bare(line: str) -> str:
     return line.strip().lstrip(_DECOR_FRONT).rstrip(_DECOR_BACK)
 
 
-def letters(s: str) -> str:
-    return "".join(filter(str.isalpha, s.lower()))
-
-
 def parts_of(line: str) -> list[str]:
     s = bare(line)
     if not _SEPARATOR.search(s):
@@ -71,12 +67,34 @@ def parts_of(line: str) -> list[str]:
     return [p for p in _PARTS.split(s) if p]
 
 
-def form_of(part: str) -> str:
-    """The generalised form of a part without codes; of one without small letters the letters themselves."""
+def units_of(line: str) -> list[str]:
+    """The sentences of a line's clauses."""
+    return [u for c in _CLAUSE.split(line) for u in _SENTENCE.split(c) if u]
+
+
+def form_and_letters(part: str) -> tuple[str, str]:
+    """The generalised form of a part (names N, numbers and codes 0) and its lower-case letters.
+
+    A part without small letters, or of names and numbers alone, has its letters for a form.
+    """
+    if _MAYBE_CODE.search(part):
+        part = CODE.sub("0", part)
+    words, out, last = _WORD.findall(part), [], ""
+    key = "".join([w for w in words if w.isalpha()]).lower()
     if part.upper() == part:
-        return (k := letters(part)) and "=" + k
-    masked = _NAME.sub("N", _PUNCT.sub(" ", _NUMBER.sub("0", part)))
-    return " ".join(masked.split()) if masked.strip("N0 ’'-") else "=" + letters(part)
+        return (key and "=" + key), key
+    plain = False
+    for w in words:
+        if w[0].isupper():
+            w = "N"
+        elif not w.isalpha():
+            w = "0"
+        else:
+            plain = True
+        if w != last or w not in "N0":
+            out.append(w)
+        last = w
+    return (" ".join(out) if plain else (key and "=" + key)), key
 
 
 def _closed(s: str) -> bool:
@@ -95,7 +113,7 @@ def is_filler(line: str) -> bool:
     first = line.split(None, 5)[1:5]
     if len(first) < 4 or not first[0].islower() or not all(_FILLER_WORD.match(w.lower().rstrip(".,")) for w in first[::2]):
         return False
-    words = _WORD.findall(line.lower())
+    words = _LETTERS.findall(line.lower())
     return len(words) >= FILLER_WORDS and sum(bool(_FILLER_WORD.match(w)) for w in words) >= FILLER_SHARE * len(words)
 
 
@@ -105,225 +123,277 @@ def h64(s: str) -> int:
     return xxhash.xxh3_64_intdigest(s) - (1 << 63)
 
 
-#: A longer part is furniture only where its very letters recur.
-_LONG = 140
-
-
-def hashed_forms(line: str) -> tuple[int, ...]:
-    """Hash of the form of each part of a stripped line; 0 where there is none."""
-    return tuple(_long_hash(p) if len(p) > _LONG else h64(f) if (f := form_of(uncoded(p, "0"))) else 0 for p in parts_of(line))
-
-
-def hashed_pairs(line: str) -> tuple[tuple[int, int], ...]:
-    """Hashes of the form and of the letters of each part; 0 where there is none."""
-    out = []
-    for p in parts_of(line):
-        if len(p) > _LONG:
-            form = key = _long_hash(p)
-        else:
-            plain = uncoded(p, "0")
-            f = form_of(plain)
-            k = (f[1:] if f[:1] == "=" else letters(p)) if plain is p else letters(uncoded(p))
-            form, key = h64(f) if f else 0, h64(k) if k else 0
-        out.append((form, key))
-    return tuple(out)
-
-
-def _long_hash(part: str) -> int:
-    low = part.lower()
-    return h64(_NUMBER.sub("", low) if _NUMBER.search(low) else low)
+def _is_entry(line: str) -> bool:
+    """Fields of one record: three short parts between like separators."""
+    s = bare(line)
+    return any(s.count(sep) == 2 and max(map(len, s.split(sep))) <= 45 for sep in (" — ", " – ", " | ", ", ", " · ", " / "))
 
 
 class Line:
-    """The shape of a line, as far as it depends on the line alone; the rarer marks are found when asked for."""
-
-    __slots__ = ("raw", "parts", "prose", "filler", "words", "bullet", "_entry", "_last", "_opens")
-
-    def __init__(self, raw: str, parts: int):
-        self.raw = line = raw.strip()
-        self.parts = parts
-        self.words = line.count(" ") + 1
-        self.filler = self.words >= FILLER_WORDS and parts == 1 and is_filler(line)
-        self.prose = not self.filler and is_prose(line)
-        self.bullet = bool(BULLET.match(line))
-        self._entry = self._last = self._opens = None
-
-    @property
-    def caps(self) -> bool:
-        return self.raw.isupper()
-
-    @property
-    def entry(self) -> bool:
-        if self._entry is None:
-            self._entry = not self.prose and _is_entry(self.raw)
-        return self._entry
-
-    @property
-    def byline(self) -> bool:
-        return not self.prose and bool(_BYLINE.search(self.raw))
-
-    @property
-    def last(self) -> str:
-        if self._last is None:
-            self._last = "" if self.prose or not self.parts else letters(parts_of(self.raw)[-1])
-        return self._last
-
-    @property
-    def opens(self) -> bool:
-        if self._opens is None:
-            self._opens = self.parts == 1 and not self.bullet and not _closed(self.raw)
-        return self._opens
+    """What one line is, whatever stands around it.
 
+    ``forms`` and ``keys`` have the hashes of each part's form and letters (0 where there is none), ``flags`` the
+    bits above with the number of parts, ``heads`` the forms of what stands before a separator; ``units``, ``clauses`` and
+    ``unit_forms`` are those of a line of prose, ``said`` the letters of the units of any other.
+    """
 
-def _is_entry(line: str) -> bool:
-    """Fields of one record: three short parts between like separators."""
-    s = bare(line)
-    return any(s.count(sep) == 2 and max(map(len, s.split(sep))) <= 45 for sep in (" — ", " – ", " | ", ", ", " · ", " / "))
+    __slots__ = ("forms", "keys", "flags", "heads", "units", "clauses", "unit_forms", "said")
+
+    def __init__(self, raw: str, known: Lines):
+        line = raw.strip()
+        parts = parts_of(line)
+        self.heads = self.units = self.clauses = self.unit_forms = self.said = ()
+        if not parts:
+            self.forms = self.keys = ()
+            self.flags = 0
+            return
+        n, flags = len(parts), 0
+        words = line.count(" ") + 1
+        banner = line.startswith("+++") or line.endswith("+++")
+        prose = is_prose(line)
+        filler = words >= FILLER_WORDS and n == 1 and is_filler(line)
+        if prose and not filler:
+            clauses = [[known.part(u) for u in _SENTENCE.split(c) if u] for c in _CLAUSE.split(line) if c]
+            units = [u for c in clauses for u in c]
+            self.units = tuple([k for _, k, letters in units if len(letters) >= UNIT_LETTERS])
+            self.clauses = tuple([c[0][1] if len(c) == 1 else h64(key) for c in clauses if len(key := "".join([x for _, _, x in c])) >= UNIT_LETTERS])
+            self.unit_forms = tuple([f for f, _, _ in units if f])
+        if n == 1 and len(parts[0]) > _LONG:
+            long = h64("".join([x for c in clauses for _, _, x in c]) if self.unit_forms else known.part(parts[0])[2])
+            self.forms = self.keys = (long,)
+        else:
+            both = [known.part(p) for p in parts]
+            self.forms, self.keys = tuple([f for f, _, _ in both]), tuple([k for _, k, _ in both])
+        if prose and not filler:
+            flags |= PROSE
+        else:
+            bullet = bool(BULLET.match(line))
+            if filler:  # never furniture, however often it recurs
+                flags |= FILLER
+                self.forms = self.keys = (0,) * n
+            if n == 1 and words > 1 and line.isupper():
+                flags |= CAPS
+            if bullet:
+                flags |= BULLETED
+            if _is_entry(line):
+                flags |= ENTRY
+            if _BYLINE.search(line):
+                flags |= BYLINE
+            if n == 1 and not bullet and not _closed(line):
+                flags |= OPENS
+            if not filler and len(said := units_of(line)) > 1:
+                self.said = tuple([k for _, k, letters in map(known.part, said) if len(letters) >= UNIT_LETTERS])
+            self.heads = tuple([f for sep in (" - ", ": ", " – ") if sep in raw and (f := known.part(bare(raw.partition(sep)[0]))[0])])
+        if banner:
+            flags |= BANNER
+        if words >= 3:
+            flags |= THREE
+        if line.startswith("# "):
+            flags |= HEADED
+        if line[0] == ">":
+            flags |= QUOTED
+        self.flags = flags | min(n, 1 << 16) << _PARTS_AT
 
 
 class Lines:
-    """What was found out about lines, remembered for the lines that recur, as far as the bound goes."""
+    """What was found out about lines and parts, remembered for those that recur, as far as the bound goes."""
 
-    bound, long_bound = 200_000, 2_000
+    bound = 200_000
 
     def __init__(self):
-        self._forms: dict[str, tuple[int, ...]] = {}
-        self._pairs: dict[str, tuple[tuple[int, int], ...]] = {}
-        self._shapes: dict[str, Line] = {}
-        self._long: dict[tuple[str, str], object] = {}
-        self._heads: dict[str, int] = {}
-        self._sorts: dict[str, int] = {}
-
-    def _remember(self, kept: dict, kind: str, raw: str, make):
-        if len(raw) <= _LONG:
-            if len(kept) >= self.bound:
-                kept.clear()
-            got = kept[raw] = make()
-            return got
-        if (got := self._long.get((kind, raw))) is None:
-            if len(self._long) >= self.long_bound:
-                self._long.clear()
-            got = self._long[kind, raw] = make()
-        return got
-
-    def forms(self, raw: str) -> tuple[int, ...]:
-        got = self._forms.get(raw)
-        return self._remember(self._forms, "f", raw, lambda: hashed_forms(raw.strip())) if got is None else got
+        self._lines: dict[str, Line] = {}
+        self._parts: dict[str, tuple[int, int, str]] = {}
 
-    def pairs(self, raw: str) -> tuple[tuple[int, int], ...]:
-        got = self._pairs.get(raw)
-        return self._remember(self._pairs, "p", raw, lambda: hashed_pairs(raw.strip())) if got is None else got
+    def part(self, s: str) -> tuple[int, int, str]:
+        """(hash of the form, hash of the letters, letters) of a part or unit."""
+        got = self._parts.get(s)
+        if got is None:
+            form, key = form_and_letters(s)
+            got = (h64(form) if form else 0, h64(key) if key else 0, key)
+            if len(s) <= _LONG:
+                if len(self._parts) >= self.bound:
+                    self._parts.clear()
+                self._parts[s] = got
+        return got
 
     def of(self, raw: str) -> Line:
-        got = self._shapes.get(raw)
-        return self._remember(self._shapes, "s", raw, lambda: Line(raw, len(self.forms(raw)))) if got is None else got
-
-    def sort(self, raw: str) -> int:
-        """1 for a line of prose in words, 2 for one of filler, else 0; banners are neither."""
-        if len(raw) < PROSE_CHARS:
-            return 0
-        got = self._sorts.get(raw)
+        got = self._lines.get(raw)
         if got is None:
-            line = raw.strip()
-            got = 0 if not is_prose(line) or is_banner(raw) else 2 if is_filler(line) else 1
+            got = Line(raw, self)
             if len(raw) <= _LONG:
-                if len(self._sorts) >= self.bound:
-                    self._sorts.clear()
-                self._sorts[raw] = got
+                if len(self._lines) >= self.bound:
+                    self._lines.clear()
+                self._lines[raw] = got
         return got
 
-    def head(self, s: str) -> int:
-        got = self._heads.get(s)
-        if got is None:
-            if len(self._heads) >= self.bound:
-                self._heads.clear()
-            got = self._heads[s] = h64(f) if (f := form_of(uncoded(bare(s), "0"))) else 0
-        return got
+
+def host_key() -> Column:
+    """The hash by which the votes know a row's host."""
+    return F.xxhash64(F.coalesce("host", F.lit("")))
 
 
-def _digests(batches):
+#: Columns of the digest: the row, its lines one after another, its lines of prose, its marks, and what became of it.
+DIGEST = (
+    "src string, row_id bigint, host bigint, path bigint, line array<int>, form array<bigint>, key array<bigint>, head array<bigint>, heads array<int>, "
+    "prose array<array<bigint>>, unit array<array<bigint>>, clause array<array<bigint>>, unit_form array<bigint>, said array<bigint>, filler boolean, "
+    "mark array<bigint>, mark_kind array<int>, mark_in array<bigint>, mark_with array<bigint>, mark_as array<bigint>, damaged boolean, complete boolean, restored string"
+)
+
+
+def digest_of(text: str, known: Lines, garbled: tuple[bool, str, bool]) -> tuple:
+    """The digest's columns from ``line`` on, of a restored text."""
+    from .residue import marks_of
+
+    flags, forms, keys, heads, counts, prose, units, clauses, unit_forms, said = [], [], [], [], [], [], [], [], set(), []
+    filler, of = False, known.of
+    for raw in text.split("\n"):
+        x = of(raw)
+        f = x.flags
+        flags.append(f)
+        if not f:
+            continue
+        forms += x.forms
+        keys += x.keys
+        if x.heads:
+            heads += x.heads
+            counts += (len(flags) - 1,) * len(x.heads)
+        said += x.said
+        if f & FILLER:
+            filler = True
+        elif f & PROSE:
+            unit_forms.update(x.unit_forms)
+            if not f & BANNER:
+                prose.append(x.forms)
+                units.append(x.units)
+                clauses.append(x.clauses)
+    marks = marks_of(text, known)
+    damaged, restored, complete = garbled
+    return (flags, forms, keys, heads, counts, prose, units, clauses, list(unit_forms), said, filler, *marks, damaged, complete, restored if damaged else None)
+
+
+def _int_lists(pa, rows: list, kind):
+    """A list array of integer lists, built flat."""
+    import itertools
+
+    import numpy as np
+
+    ends = np.zeros(len(rows) + 1, np.int32)
+    np.cumsum([len(r) for r in rows], out=ends[1:])
+    flat = np.fromiter(itertools.chain.from_iterable(rows), kind.to_pandas_dtype(), int(ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
+
+
+def to_batch(rows: list[tuple], extra: tuple[tuple[str, object], ...] = ()):
+    """A record batch of digest rows, with further columns of the given types behind."""
     import pyarrow as pa
 
-    from .residue import marks, may_have_mark
-
-    known, ints = Lines(), pa.list_(pa.int64())
-    for b in batches:
-        out: tuple[list, ...] = ([], [], [], [], [], [], [])
-        for host, path, text in zip(*(c.to_pylist() for c in b.columns)):
-            pairs, prose = set(), []
-            for raw in text.split("\n"):
-                got = known.pairs(raw)
-                if got:
-                    kind = known.sort(raw)
-                    if kind != 2:  # filler is never furniture, however often it recurs
-                        pairs.update(got)
-                        if kind:
-                            prose.append([f for f, _ in got])
-            pairs = [p for p in pairs if p[1]]
-            found = set(marks(text)) if may_have_mark(text) else ()
-            out[0].append(host)
-            out[1].append(path)
-            out[2].append([f for f, _ in pairs])
-            out[3].append([k for _, k in pairs])
-            out[4].append(prose)
-            out[5].append([m for m, _ in found])
-            out[6].append([c for _, c in found])
-        kinds = (pa.int64(), pa.int64(), ints, ints, pa.list_(ints), ints, ints)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["host", "path", "form", "key", "prose", "mark", "context"])
+    i64, i32 = pa.int64(), pa.int32()
+    names = [c.split()[0] for c in DIGEST.split(", ")]
+    cols = list(zip(*rows)) if rows else [()] * (len(names) + len(extra))
+    lists = {"line": i32, "form": i64, "key": i64, "head": i64, "heads": i32, "unit_form": i64, "said": i64, "mark": i64, "mark_kind": i32, "mark_in": i64, "mark_with": i64, "mark_as": i64}
+    out = []
+    for name, col in zip(names, cols):
+        if name in lists:
+            out.append(_int_lists(pa, col, lists[name]))
+        elif name in ("prose", "unit", "clause"):
+            inner = _int_lists(pa, [x for r in col for x in r], i64)
+            ends = [0]
+            for r in col:
+                ends.append(ends[-1] + len(r))
+            out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner))
+        else:
+            out.append(pa.array(col, {"row_id": i64, "host": i64, "path": i64}.get(name, pa.bool_() if name in ("filler", "damaged", "complete") else pa.string())))
+    return pa.RecordBatch.from_arrays(out + [pa.array(c, k) for c, (_, k) in zip(cols[len(names) :], extra)], names=[*names, *(n for n, _ in extra)])
 
 
-def host_key() -> Column:
-    """The hash by which the votes know a row's host."""
-    return F.xxhash64(F.coalesce("host", F.lit("")))
+def keyed(rows: DataFrame, *more) -> DataFrame:
+    """The (src, row_id, host, path, text) of the rows that take part, hosts and paths as hashes."""
+    given = rows.where(F.col("row_id").isNotNull() & (F.length("text") > 0))
+    return given.select("src", "row_id", host_key().alias("host"), F.xxhash64(F.coalesce("path", F.lit(""))).alias("path"), "text", *more)
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """What the votes need of every (host, path, text) row, in hashes: forms and letters of its parts, the forms of
-    its lines of prose, its marks with their contexts. The one pass over the texts; checkpointed, for it is read three times.
-    """
-    schema = "host bigint, path bigint, form array<bigint>, key array<bigint>, prose array<array<bigint>>, mark array<bigint>, context array<bigint>"
-    return checkpointed(map_arrow(rows.where("length(text) > 0").select(host_key().alias("host"), F.xxhash64(F.coalesce("path", F.lit(""))).alias("path"), "text"), _digests, schema))
+    """The digest of every row, stored: the one pass over the texts."""
+    from .encoding import speller_of
+
+    shared = rows.sparkSession.sparkContext.broadcast(speller_of(rows))
+
+    def run(batches):
+        from .encoding import repair
+
+        known, speller = Lines(), shared.value
+        for b in batches:
+            out = []
+            for src, row, host, path, text in zip(*(c.to_pylist() for c in b.columns)):
+                got = repair(text, speller)
+                out.append((src, row, host, path, *digest_of(got[1], known, got)))
+            yield to_batch(out)
+
+    return stored(map_arrow(keyed(rows), run, DIGEST))
 
 
 def fillings(digest: DataFrame) -> DataFrame:
     """(form, key, host, pages): on how many pages of a host a form has a filling; a page fetched again counts once."""
-    seen = digest.select("host", "path", F.explode(F.arrays_zip("form", "key")).alias("p")).select("host", "path", "p.form", "p.key")
+    seen = digest.select("host", "path", F.explode(F.array_distinct(F.arrays_zip("form", "key"))).alias("p")).select("host", "path", "p.form", "p.key").where("key <> 0")
     pages = seen.groupBy("form", "key", "host", "path").agg(F.lit(1).alias("one"))
-    return checkpointed(pages.groupBy("form", "key", "host").agg(F.count(F.lit(1)).cast("int").alias("pages")))
+    return stored(pages.groupBy("form", "key", "host").agg(F.count(F.lit(1)).cast("int").alias("pages")))
 
 
 def host_votes(filled: DataFrame) -> DataFrame:
     """(form, host, pages, fillings) of every host that has the form."""
-    return checkpointed(filled.groupBy("form", "host").agg(F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("fillings")))
+    return filled.groupBy("form", "host").agg(F.sum("pages").cast("int").alias("pages"), F.count(F.lit(1)).cast("int").alias("fillings"))
 
 
 def _kept() -> Column:
     return F.col("fillings") <= KEPT_SHARE * F.col("pages")
 
 
-def furniture(filled: DataFrame, votes: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(form, by_all): forms that are furniture over several hosts; every host has one vote, whatever its pages.
+class Winners:
+    """The furniture forms: ``own`` (host, form, plus) where a host decides by itself, ``shared`` (form) for the others."""
+
+    def __init__(self, own: DataFrame, shared: DataFrame):
+        self.own, self.shared = own, shared
+
+    def sets(self, limit: int = BROADCAST_ROWS):
+        """(shared forms, host -> (furniture here, content here)) where there are at most ``limit`` of them, else None."""
+        if self.own.limit(limit + 1).count() + self.shared.limit(limit + 1).count() > limit:
+            return None
+        own: dict[int, tuple[set, set]] = {}
+        for host, form, plus in zip(*(c.to_pylist() for c in self.own.select("host", "form", "plus").toArrow().columns)):
+            own.setdefault(host, (set(), set()))[not plus].add(form)
+        return frozenset(self.shared.select("form").toArrow().column(0).to_pylist()), own
+
+    def meet(self, forms: DataFrame) -> DataFrame:
+        """Adds ``furniture`` to (host, form, …, _at) rows: the host's own decision, else that of all hosts."""
+        hit = weighted_join(forms, self.own, ["host", "form"], "pages", "_at", "left") if self.own.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS else forms.join(F.broadcast(self.own), ["host", "form"], "left")
+        hit = lookup_join(hit.drop("pages"), self.shared.withColumn("_all", F.lit(True)), ["form"], "_at", "left")
+        return hit.withColumn("furniture", F.coalesce("plus", "_all", F.lit(False))).drop("plus", "_all")
+
 
-    A form is kept by its hosts if more than half of those with two pages of it keep it. It is kept by all (``by_all``)
-    if its fillings are few for its hosts: a host's one vote is divided evenly over its fillings, and the share of a
-    filling that k hosts have counts 1/k, so that a host adds 1 at most.
+def winners(digest: DataFrame, min_pages: int = MIN_PAGES) -> Winners:
+    """The votes of all hosts on all forms.
+
+    A host with ``min_pages`` pages of a form decides on it alone. For the others a form is furniture if more than
+    half of the hosts with two pages of it keep it, or if its fillings are few for its hosts: a host's one vote is
+    divided evenly over its fillings, and the share of a filling that k hosts have counts 1/k, so that a host
+    adds 1 at most. Every host has one vote, whatever its pages.
     """
+    filled = fillings(digest)
+    votes = stored(host_votes(filled))
     told = F.col("pages") >= 2
     forms = votes.groupBy("form").agg(
         F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("hosts"), F.count_if(told).alias("told"), F.count_if(told & _kept()).alias("kept")
     ).where(F.col("hosts") >= 2)
-    shares = filled.join(forms.select("form"), "form", "left_semi").join(votes.select("form", "host", "fillings"), ["form", "host"])
+    several = stored(forms)
+    shares = filled.join(several.select("form"), "form", "left_semi").join(votes.select("form", "host", "fillings"), ["form", "host"])
     keys = shares.groupBy("form", "key").agg((F.sum(1 / F.col("fillings")) / F.count(F.lit(1))).alias("share"))
     spread = keys.groupBy("form").agg(F.round(F.sum("share"), 6).alias("spread"))
     by_hosts = (F.col("pages") >= min_pages) & (2 * F.col("kept") > F.col("told"))
     by_all = F.col("spread") <= F.greatest(F.lit(1.1), SHARED_SHARE * F.col("hosts"))
-    return checkpointed(forms.join(spread, "form").select("form", by_hosts.alias("by_hosts"), by_all.alias("by_all")).where("by_hosts or by_all").drop("by_hosts"))
-
-
-def own_forms(votes: DataFrame, shared: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, form, plus): where a host's own vote on a form differs from that of the hosts: furniture here (``plus``) or content here."""
-    own = votes.where(F.col("pages") >= min_pages).select("host", "form", _kept().alias("plus")).join(shared, "form", "left")
-    return own.where(F.when(F.col("plus"), F.col("by_all").isNull()).otherwise(~F.col("by_all"))).select("host", "form", "plus")
+    shared = stored(several.join(spread, "form").select("form", by_hosts.alias("by_hosts"), by_all.alias("by_all")).where("by_hosts or by_all").select("form", "by_all"))
+    own = votes.where(F.col("pages") >= min_pages).select("host", "form", "pages", _kept().alias("plus")).join(shared, "form", "left")
+    own = own.where(F.when(F.col("plus"), F.col("by_all").isNull()).otherwise(~F.col("by_all"))).select("host", "form", "pages", "plus")
+    return Winners(stored(own), shared.select("form"))
 
 
 class HostForms:
@@ -331,14 +401,14 @@ class HostForms:
 
     __slots__ = ("shared", "plus", "minus")
 
-    def __init__(self, shared: frozenset, plus: frozenset, minus: frozenset):
+    def __init__(self, shared: frozenset, plus, minus):
         self.shared, self.plus, self.minus = shared, plus, minus
 
     def __contains__(self, form: int) -> bool:
         return form in self.plus or (form in self.shared and form not in self.minus)
 
 
-def is_furniture(forms: tuple[int, ...], chrome) -> bool:
+def is_furniture(forms, chrome) -> bool:
     if len(forms) == 1:
         return forms[0] in chrome
     hits = 0
@@ -347,94 +417,74 @@ def is_furniture(forms: tuple[int, ...], chrome) -> bool:
     return bool(hits) and 2 * hits >= len(forms)
 
 
-def is_banner(raw: str) -> bool:
-    return raw.lstrip().startswith("+++") or raw.rstrip().endswith("+++")
-
-
-class Scan:
-    """The lines of a text with the hashes of their forms."""
-
-    __slots__ = ("text", "lines", "forms", "known")
-
-    def __init__(self, text: str, known: Lines):
-        self.text, self.known = text, known
-        self.lines = text.split("\n")
-        self.forms = list(map(known.forms, self.lines))
-
-
-class Page:
-    """A page's lines with their role in it. ``chrome`` holds the hashes of furniture forms."""
-
-    __slots__ = ("lines", "known", "roles", "title")
-
-    def __init__(self, scan: Scan, chrome):
-        self.lines = lines = scan.lines
-        self.known = known = scan.known
-        self.roles = roles = [""] * len(lines)
-        of = known.of
-        trails: list[int] = []
-        first_prose = len(lines)
-        for i, (raw, parts) in enumerate(zip(lines, scan.forms)):
-            n = len(parts)
-            if not n:
-                roles[i] = "blank"
-                continue
-            if is_furniture(parts, chrome):
-                roles[i] = "furniture"
-                if n > 1:
-                    trails.append(i)
-            elif is_banner(raw):
-                roles[i] = "banner"
-            else:
-                s = of(raw)
-                if s.filler:
-                    roles[i] = "filler"
-                elif s.prose:
-                    roles[i] = "prose"
-                    first_prose = min(first_prose, i)
-                elif n == 1 and s.words > 1 and s.caps:
-                    roles[i] = "furniture"
-        open_ = [i for i, r in enumerate(roles) if not r]
-        # the title: a marked line, the end of the trail, or the first line of three words above the prose
-        self.title = next((i for i in open_ if lines[i].lstrip().startswith("# ")), -1)
-        if self.title < 0 and open_ and trails:
-            ends = {of(lines[i]).last for i in trails}
-            self.title = next((i for i in open_ if of(lines[i]).last in ends), -1)
-        if self.title < 0:
-            self.title = next((i for i in open_ if i < first_prose and of(lines[i]).words >= 3 and not of(lines[i]).bullet), -1)
-        if self.title >= 0:
-            roles[self.title] = "title"
-        if len(open_) > (self.title >= 0):
-            self._rest(known, chrome)
-
-    def _rest(self, known: Lines, chrome) -> None:
-        roles, title, lines, of = self.roles, self.title, self.lines, known.of
-        opener, since_title, before = -1, 0, ""
-        for i, role in enumerate(roles):
-            if role == "blank":
-                continue
-            since_title += i > title >= 0
-            if role:
-                # a short label of the site opens a list of links to other pages
-                opener = i if role == "furniture" and i > title else -1
-                before = role
-                continue
-            s = of(lines[i])
-            if i < title or (title < 0 and not s.bullet and s.words < 3):
-                roles[i] = "menu"
-            elif opener >= 0 and of(lines[opener]).opens and not s.entry:
-                roles[i] = "link"
-            elif since_title <= 1 and s.byline:
-                roles[i] = "byline"
-            elif any(found and known.head(head) in chrome for head, found, _ in (lines[i].partition(sep) for sep in (" - ", ": ", " – "))):
-                roles[i] = "link"
-            elif s.bullet and not s.entry and (before in ("furniture", "link") or lines[i].lstrip().startswith(">")):
-                roles[i] = "link"
-            else:
-                roles[i] = "entry" if s.entry or s.bullet else "text"
-            before = roles[i]
-
-
-_BYLINE = re.compile(r"(?:,\s*(?:19|20)\d\d|[|·]\s*\d+\s+\S+(?:\s+\S+){0,3})\s*$")
-#: Roles that make up the main body.
-MAIN = frozenset(("title", "prose", "entry", "text"))
+#: Roles of lines; those from TITLE on make up the main body.
+BLANK, FURNITURE, BANNERED, FILLED, MENU, LINK, BY, TITLE, TEXT, ITEM, OTHER = range(11)
+
+
+def roles_of(lines: list[int], forms: list[int], keys: list[int], head: list[int], heads: list[int], chrome) -> list[int]:
+    """The role of each line of a page by its digest; ``chrome`` knows the furniture forms of the page's host."""
+    roles, ends, last = [0] * len(lines), set(), {}
+    open_, at, first_prose = [], 0, len(lines)
+    for i, f in enumerate(lines):
+        n = f >> _PARTS_AT
+        if not n:
+            continue
+        parts = forms[at : at + n]
+        at += n
+        if is_furniture(parts, chrome):
+            roles[i] = FURNITURE
+            if n > 1 and not f & PROSE:
+                ends.add(keys[at - 1])
+        elif f & BANNER:
+            roles[i] = BANNERED
+        elif f & FILLER:
+            roles[i] = FILLED
+        elif f & PROSE:
+            roles[i] = TEXT
+            if first_prose > i:
+                first_prose = i
+        elif f & CAPS:
+            roles[i] = FURNITURE
+        else:
+            open_.append(i)
+            last[i] = keys[at - 1]
+    if not open_:
+        return roles
+    # the title: a marked line, the end of the trail, or the first line of three words above the prose
+    title = next((i for i in open_ if lines[i] & HEADED), -1)
+    if title < 0 and ends:
+        title = next((i for i in open_ if last[i] in ends), -1)
+    if title < 0:
+        title = next((i for i in open_ if i < first_prose and lines[i] & THREE and not lines[i] & BULLETED), -1)
+    if title >= 0:
+        roles[title] = TITLE
+    if len(open_) > (title >= 0):
+        _rest(lines, roles, set(open_), title, dict.fromkeys(i for i, f in zip(heads, head) if f in chrome) if heads else {})
+    return roles
+
+
+def _rest(lines: list[int], roles: list[int], open_: set[int], title: int, headed: dict) -> None:
+    opener, since_title, before = 0, 0, BLANK
+    for i, f in enumerate(lines):
+        role = roles[i]
+        if not f >> _PARTS_AT:
+            continue
+        since_title += i > title >= 0
+        if i not in open_ or role == TITLE:
+            # a short label of the site opens a list of links to other pages
+            opener = f if role == FURNITURE and i > title else 0
+            before = role
+            continue
+        if i < title or (title < 0 and not f & BULLETED and not f & THREE):
+            role = MENU
+        elif opener & OPENS and not f & ENTRY:
+            role = LINK
+        elif since_title <= 1 and f & BYLINE:
+            role = BY
+        elif i in headed:
+            role = LINK
+        elif f & BULLETED and not f & ENTRY and (before in (FURNITURE, LINK) or f & QUOTED):
+            role = LINK
+        else:
+            role = ITEM if f & (ENTRY | BULLETED) else OTHER
+        roles[i] = before = role

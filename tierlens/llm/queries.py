@@ -22,43 +22,43 @@ def p1_clean(spark: SparkSession, folder: str) -> DataFrame:
     return lines.without_repeated_lines(table(spark, folder, "discovered_pages"), "dpage_id", "domain")
 
 
-def _site(spark: SparkSession, folder: str) -> DataFrame:
+def _rows(spark: SparkSession, folder: str) -> DataFrame:
     return residue.site_rows(table(spark, folder, "pages"), table(spark, folder, "discovered_pages"))
 
 
+def _site(spark: SparkSession, folder: str) -> residue.Site:
+    return residue.Site(_rows(spark, folder))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _site(spark, folder)
-    return language.mislabelled_rows(rows, language.fit(rows), residue.fit(rows))
+    rows = _rows(spark, folder)
+    return language.mislabelled_rows(rows, language.fit(rows))
 
 
 def p2_languages(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _site(spark, folder)
+    rows = _rows(spark, folder)
     return language.row_languages(rows, language.fit(rows))
 
 
 def p2_passages(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _site(spark, folder)
+    rows = _rows(spark, folder)
     return language.language_passages(rows, language.fit(rows))
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _site(spark, folder)
-    return residue.residue_rows(rows, residue.fit(rows)).select("src", "row_id")
+    return _site(spark, folder).residue.select("src", "row_id")
 
 
 def p3_reasons(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _site(spark, folder)
-    return residue.residue_rows(rows, residue.fit(rows))
+    return _site(spark, folder).residue
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _site(spark, folder)
-    return boilerplate.main_lines(rows, residue.fit(rows))
+    return boilerplate.main_lines(_site(spark, folder))
 
 
 def p4_bodies(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _site(spark, folder)
-    return boilerplate.main_bodies(rows, residue.fit(rows))
+    return boilerplate.main_bodies(_site(spark, folder))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,8 +66,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_restored(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _site(spark, folder)
-    return encoding.damaged_rows(rows, residue.fit(rows))
+    return encoding.damaged_rows(_site(spark, folder))
 
 
 def p6_pack(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,145 +1,212 @@
 """Template residue and error-page text (problem 3).
 
-Records of the same template are aligned by the words around a mark: where the mark's place holds the same
-mark on several hosts, it is part of the wording (a text that speaks of placeholders); anywhere else it is a slot that kept its variable name or default. Whole-page templates are induced from the
-pages without content of their own: wording that recurs over hosts on such pages and hardly ever beside
-real content stands in the place of content (errors, access checks, demands for scripts, sample text).
+Slots are induced by aligning records of the same template. A unit (a part of a line, or a sentence) in which
+something has the shape of a variable is aligned with all units that read the same but for a name in that
+place: where other pages have names, the place is a slot and this page left it unfilled. Where no page ever
+filled it, the units that keep the same mark are aligned with each other: if their other slots are filled with
+changing names, the mark is wording (a text that speaks of placeholders); if nothing in them changes, the
+template was never filled. The shapes below only propose places; spellings without brackets or signs (a word, a
+blank) need a filled record to be believed.
+
+Whole-page templates are induced from pages without content of their own: wording that recurs on such pages, on
+several hosts or over one host, and hardly ever beside content stands in the place of content (errors, access
+checks, demands for scripts, sample text).
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
-from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import checkpointed, map_arrow, salted_join
+from ..runtime import lookup_join, stored
 from . import page
-from .encoding import repair
-from .page import PROSE_CHARS, HostForms, Lines, Scan, h64, is_furniture, letters, uncoded
-
-#: A context is literal where one mark makes up so much of its (mark, host) pairs, on at least so many hosts.
-LITERAL_SHARE, LITERAL_MIN = 0.75, 3
+from .page import PROSE, Lines, h64, parts_of
+
+#: Pages that fill a unit's place with names, for it to be a slot.
+FILLED_PAGES = 2
+#: A mark whose unit has so many different fillings in its other slots is wording.
+WORDING_FILLINGS = 3
+#: A weak mark whose unit never changes is a slot from so many pages on.
+CONSTANT_PAGES = 3
 #: Wording in place of content: hosts it must recur on, and share of its pages that have no content.
 PLACE_HOSTS, PLACE_SHARE = 2, 0.8
-#: A line longer than this is no error text, however it is joined.
-IN_PLACE_CHARS = 250
-#: The slots and the wordings a model may hold on the driver and in each task.
-MODEL_BOUND = 2_000_000
-
-MARK = re.compile(
-    r"\{\{+[^{}\n]{0,80}\}+\}|\{%[^\n]{0,80}?%\}|<%[^\n]{0,80}?%>|\$\{[^}\n]{0,80}\}|\[\[[^\]\n]{0,80}\]\]|\{[A-Za-z_0-9.]{1,40}\}"
-    r"|\$[A-Z][A-Z_]{2,40}\$|\*\|[A-Z][A-Z_:]{1,40}\|\*|%%[A-Za-z_]{2,40}%%|%[A-Z][A-Z_]{2,40}%|@@[A-Za-z_]{2,40}@@|__[A-Z][A-Z_]{2,40}__|##[A-Z_]{2,40}##"
-    r"|\[[A-Za-z][A-Za-z _-]{1,40}\]|<(?:insert|your|enter|add)\b[^<>\n]{1,40}>|\bundefined\b|\bNaN\b|\bX{4,}\b|\b(?:TODO|FIXME|TBD)\b"
-)
-_MARK_SIGNS = ("{", "[", "%", "<", "$", "*|", "@@", "__", "##", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD")
-_CAPITAL = re.compile(rf"^[^\w]*[{page._CAP}]")
-_SIGNS = re.compile(r"[\W_]+")
-_SENTENCE = re.compile(r"(?<=[.!?…])\s+")
-_CLAUSE = re.compile(r"\s+[-–—|]\s+|:\s+")
-
-
-def _near(words: list[str]) -> str:
-    bare = [k for w in words if (k := _SIGNS.sub("", w))]
-    return " ".join("0" if w[0].isdigit() else w.lower() if len(w) > 1 and w.isupper() else "N" if _CAPITAL.match(w) else w for w in bare)
-
-
-def may_have_mark(text: str) -> bool:
-    return any(sign in text for sign in _MARK_SIGNS)
 
-
-def marks(text: str) -> list[tuple[int, int]]:
-    """(hash of the mark, hash of mark's surroundings; 0 where it stands alone) of each mark."""
+WORD, WEAK, STRONG = range(3)
+#: Added to the kind of a mark whose unit has no words but names beside it, or that names a field.
+ALONE, FIELD = 4, 8
+
+# Words that names of variables are made of.
+FIELDS = "name first last full user customer client company firm city town street address date year title subject email mail phone product item price order number link url text insert your enter add here vorname nachname nom prenom nombre apellido nome imie nazwisko"
+_FIELD = re.compile(rf"(?<![a-z])(?:{'|'.join(FIELDS.split())})(?![a-z])|[a-z]name\b", re.I)
+_FIELD_CAPS = "|".join(w.upper() for w in FIELDS.split())
+# By shape alone: between brackets of code, between like signs, or behind a sign that opens a variable.
+_STRONG = (
+    r"[$#%]?\{+[^{}\n]{1,80}\}+", r"<[%?][^\n]{0,80}?[%?]>", r"\*?\|[A-Za-z][\w:.]{1,40}\|\*?",
+    r"(?<![\w$%@#])([$%@#]{1,2})[A-Za-z][\w.:-]{1,40}\1(?!\w)", r"(?<!\w)__[A-Za-z]\w{1,40}__(?!\w)",
+    r"(?<![\w%])%(?:\(\w+\))?[sdif](?!\w)", r"(?<!\w)@[A-Z]\w*(?:\.\w+)+", r"(?<![\w$])\$[a-z_]\w+(?!\w)", r"\bX{4,}\b",
+)
+_WEAK = (
+    r"\[+[^\W\d_][^\[\]\n]{1,60}\]+", r"<[^\W\d_][^<>\n/@]{2,60}>", r"(?<!\S):[a-z][a-z_]{1,30}(?!\w)", r"(?<![\w/@.-])[a-z]{2,20}_[a-z_]{2,30}(?![\w/@.-])",
+    rf"(?<!\w)(?:{_FIELD_CAPS})[_-]?(?:{_FIELD_CAPS})(?!\w)", r"(?<=\w) (?=,(?:\s|$))",
+)
+# What programs print for a value they do not have, and what authors leave for one to come.
+_WORDS = (r"\bundefined\b", r"\bNaN\b", r"\b(?:TODO|FIXME|TBD)\b")
+_MARK = re.compile("|".join((*(f"(?P<s{i}>{p})".replace(r"\1", f"(?P=sign{i})").replace("([$%@#]{1,2})", f"(?P<sign{i}>[$%@#]{{1,2}})") for i, p in enumerate(_STRONG)), f"(?P<weak>{'|'.join(_WEAK)})", f"(?P<word>{'|'.join(_WORDS)})")))
+_SIGNS = ("{", "[", "<", "$", "%", " ,", "_", "@", " :", "|*", "##", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD", "NAME")
+_QUOTES = frozenset("\"'“”„‘’«»‹›`")
+#: Stands in a mark's place: written large it is a name, written small a word of the unit.
+_NAME, _PLAIN = "Qzqz", "qzqz"
+
+
+def _found(line: str):
+    """(start, end, kind) of the marks in a line; those between quotation marks and in code are examples."""
     out = []
-    for m in MARK.finditer(text):
-        a, z = text.rfind("\n", 0, m.start()) + 1, text.find("\n", m.end())
-        before, after = text[a : m.start()].split()[-2:], text[m.end() : z if z >= 0 else len(text)].split()[:2]
-        name = h64(m.group().casefold())
-        out.append((name, h64(f"{_near(before)}|{_near(after)}") if before or after else 0))
+    for m in _MARK.finditer(line):
+        a, z = m.span()
+        if a and z < len(line) and line[a - 1] in _QUOTES and line[z] in _QUOTES or line.count("`", 0, a) % 2:
+            continue
+        if m.lastgroup == "word":
+            kind = WORD
+        elif m["weak"] is not None:
+            blank = not m.group().strip()
+            field = len(line[:a].split()) <= 2 if blank else bool(_FIELD.search(m.group()))
+            kind = WEAK | FIELD * field
+        else:
+            kind = STRONG
+        out.append((a, z, kind))
     return out
 
 
-def _hashes(strings: list[str]) -> list[int]:
-    return [h64(k) for x in strings if len(k := letters(uncoded(x))) >= 3]
-
-
-def wordings(raw: str, known: Lines) -> set[int]:
-    """Hashes of the letters of a line's parts, clauses and sentences."""
-    clauses = _CLAUSE.split(raw)
-    return {key for _, key in known.pairs(raw) if key}.union(_hashes(clauses), _hashes([s for c in clauses for s in _SENTENCE.split(c)]))
-
-
-def consists_of(raw: str, known_wordings) -> bool:
-    """Is every clause of the line, but for the shortest, such a wording or made up of such sentences?"""
-    some = False
-    for clause in _CLAUSE.split(raw):
-        sentences = _SENTENCE.split(clause)
-        # the first sentence alone, or the clause as a whole, must be known
-        if len(letters(sentences[0])) < 12 and len(sentences) == 1:
+def marks_of(text: str, known: Lines) -> tuple[list, list, list, list, list]:
+    """The marks of a text: hash, kind, unit with the mark, unit's letters, and form of the unit with a name in its place."""
+    out: tuple[list, ...] = ([], [], [], [], [])
+    if not any(sign in text for sign in _SIGNS):
+        return out
+    for raw in text.split("\n"):
+        if not any(sign in raw for sign in _SIGNS) or not (spans := _found(raw)):
             continue
-        first = _hashes(sentences[:1])
-        if not (first and first[0] in known_wordings and known_wordings.issuperset(_hashes(sentences[1:]))) and not known_wordings.issuperset(_hashes([clause])):
-            return False
-        some = True
-    return some
-
-
-@dataclass
-class Model:
-    """What the passes over all pages found: bounded sets, sent to every task."""
-
-    chrome: frozenset[int]
-    literal: frozenset[tuple[int, int]]
-    in_place: frozenset[int]
-    #: (forms that are furniture, forms that are content) on a host against ``chrome``
-    own: dict[int, tuple[frozenset[int], frozenset[int]]] = field(default_factory=dict)
-    #: the same as (host, plus, minus), joined to the rows where ``own`` would be beyond the bound
-    own_rows: DataFrame | None = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"own_rows": None}
-
-    def keyed(self, rows: DataFrame, *columns) -> DataFrame:
-        """The columns of the rows with ``_host``, ``_plus`` and ``_minus``, which ``chrome_of`` takes."""
-        known = "host" in rows.columns
-        out = rows.select(*columns, (page.host_key() if known else F.lit(0).cast("bigint")).alias("_host"))
-        if self.own_rows is None or not known:
-            none = F.lit(None).cast("array<bigint>")
-            return out.withColumns({"_plus": none, "_minus": none})
-        return salted_join(out.withColumn("_by", F.monotonically_increasing_id()), self.own_rows, ["_host"], "_by", "left").select(*[c for c in out.columns], "_plus", "_minus")
-
-    def chrome_of(self, host: int, plus, minus):
-        """The furniture forms of a host."""
-        if plus is None and (own := self.own.get(host) if self.own else None) is None:
-            return self.chrome
-        return HostForms(self.chrome, *(own if plus is None else (frozenset(plus), frozenset(minus))))
+        pieces, at = [], 0
+        for a, z, _ in spans:
+            pieces += (raw[at:a], " " if raw[a:z] == " " else "", _NAME)
+            at = z
+        named = "".join((*pieces, raw[at:])).strip()
+        units = page.units_of(named) if known.of(raw).flags & PROSE else parts_of(named)
+        left = iter(spans)
+        for u in units:
+            if not (n := u.count(_NAME)):
+                continue
+            plain = u.replace(_NAME, _PLAIN)
+            form, key = page.form_and_letters(plain)
+            own = [s for _, s in zip(range(n), left)]
+            inside = [raw[a:z].casefold() for a, z, _ in own]
+            rest = u.replace(_NAME, " ")
+            alone = ALONE * (page.form_and_letters(rest)[0][:1] in ("", "="))
+            for (*_, kind), mark in zip(own, inside):
+                if kind == WORD and rest.isupper():  # a word written large among others
+                    continue
+                out[0].append(h64(mark))
+                out[1].append(kind | alone)
+                out[2].append(h64(f"{form}|{'|'.join(inside)}"))
+                out[3].append(h64(key))
+                out[4].append(known.part(u)[0])
+    return out
 
-    def own_lines(self, scan: Scan, chrome) -> tuple[list[str], bool]:
-        """(prose lines, any filler?) of the lines that are no furniture, banners left out."""
-        sort, prose = scan.known.sort, []
-        for raw, forms in zip(scan.lines, scan.forms):
-            if len(raw) >= PROSE_CHARS and not is_furniture(forms, chrome):
-                kind = sort(raw)
-                if kind == 2:
-                    return prose, True
-                if kind:
-                    prose.append(raw)
-        return prose, False
 
-    def residue(self, scan: Scan, chrome) -> str | None:
-        """Why the page is left out: ``slot``, ``filler`` or ``in_place``; None for a sound page. ``chrome``: its host's."""
-        if may_have_mark(scan.text) and any((m, c) not in self.literal for m, c in marks(scan.text)):
-            return "slot"
-        prose, filler = self.own_lines(scan, chrome)
-        if filler:
-            return "filler"
-        # prose made up of wording in place of content alone is no content either; such wording is short
-        if len(prose) <= 2 and all(len(x) <= IN_PLACE_CHARS and consists_of(x, self.in_place) for x in prose):
-            if any(not self.in_place.isdisjoint(wordings(x, scan.known)) for x in scan.lines if x):
-                return "in_place"
-        return None
+def unfilled_rows(digest: DataFrame) -> DataFrame:
+    """(src, row_id) of the rows with a slot that kept its variable, a default or a blank."""
+    marks = stored(
+        digest.where(F.size("mark") > 0).select("src", "row_id", "host", "path", F.explode(F.arrays_zip("mark", "mark_kind", "mark_in", "mark_with", "mark_as")).alias("m"))
+        .select("src", "row_id", "host", "path", "m.mark", F.col("m.mark_kind").bitwiseAND(3).alias("kind"), (F.col("m.mark_kind").bitwiseAND(ALONE) > 0).alias("alone"), (F.col("m.mark_kind").bitwiseAND(FIELD) > 0).alias("field"), "m.mark_in", "m.mark_with", F.col("m.mark_as").alias("form"))
+    )
+    wanted = stored(marks.select("form").where("form <> 0").distinct())
+    units = digest.select("host", "path", F.explode(F.array_distinct(F.concat("unit_form", "form"))).alias("form"))
+    filled = lookup_join(units, wanted, ["form"], "path", "left_semi").distinct().groupBy("form").agg(F.count(F.lit(1)).alias("filled"))
+    aligned = filled.where(F.col("filled") >= FILLED_PAGES).select("form", F.lit(True).alias("aligned"))
+    kept = marks.groupBy("mark_in").agg(F.countDistinct("mark_with").alias("fillings"), F.countDistinct("host", "path").alias("pages"))
+    told = stored(marks.join(aligned, "form", "left").join(kept, "mark_in").withColumn("aligned", F.coalesce("aligned", F.lit(False))))
+    slots = told.where("aligned").select("mark").distinct().withColumn("slot", F.lit(True))
+    told = told.join(slots, "mark", "left").withColumn("slot", F.coalesce("slot", F.lit(False)))
+    constant = F.col("fillings") < WORDING_FILLINGS
+    weak = F.col("slot") | (F.col("field") & (F.col("pages") >= CONSTANT_PAGES))
+    # where a unit has names alone, nothing in it can speak of the mark
+    among_names = F.col("alone") & (F.col("slot") | (F.col("kind") == STRONG))
+    among_words = ~F.col("alone") & constant & ((F.col("kind") == STRONG) | ((F.col("kind") == WEAK) & weak))
+    unfilled = F.col("aligned") | among_names | among_words
+    return told.where(unfilled).select("src", "row_id").distinct()
+
+
+def _keys(digest: DataFrame, *columns: str, units: bool = False) -> DataFrame:
+    """The letters of every part of a row, and of its units as well, each once."""
+    every = F.concat("key", F.flatten("unit"), F.flatten("clause"), "said") if units else F.col("key")
+    return digest.select(*columns, F.explode(F.array_distinct(every)).alias("key")).where("key <> 0")
+
+
+def placed_rows(digest: DataFrame, won: page.Winners, place_hosts: int = PLACE_HOSTS) -> DataFrame:
+    """(src, row_id) of the rows in which wording that stands in place of content is all there is beside furniture."""
+    lines = digest.select("src", "row_id", "host", F.posexplode(F.arrays_zip("prose", "unit", "clause")).alias("no", "p")).select("src", "row_id", "host", "no", F.col("p.prose").alias("forms"), F.col("p.unit").alias("unit"), F.col("p.clause").alias("clause"))
+    parts = lines.select("src", "row_id", "host", "no", F.size("forms").alias("n"), "unit", "clause", F.explode("forms").alias("form"), F.xxhash64("row_id", "no").alias("_at"))
+    met = won.meet(parts).groupBy("src", "row_id", "no").agg(F.count_if("furniture").alias("hits"), F.first("n").alias("n"), F.first("unit").alias("unit"), F.first("clause").alias("clause"))
+    own = stored(met.where((F.col("hits") == 0) | (2 * F.col("hits") < F.col("n"))).select("src", "row_id", "no", "unit", "clause"))
+    # pages without content, and the wordings on them
+    bare = stored(digest.select("src", "row_id").distinct().join(own.select("src", "row_id").distinct(), ["src", "row_id"], "left_anti"))
+    without = lookup_join(digest, bare, ["src", "row_id"], "row_id", "left_semi")
+    seen = _keys(without, "host", "path").unionByName(without.select("host", "path", F.lit(0).cast("bigint").alias("key"))).distinct()
+    seen = stored(seen.groupBy("key", "host").agg(F.count(F.lit(1)).alias("n")))
+    # a template of one host: on several paths of a host most of whose pages have content
+    sizes = digest.select("host", "path").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("size"))
+    mixed = seen.where("key = 0").join(sizes, "host").where(2 * F.col("n") < F.col("size")).select("host", F.lit(True).alias("mixed"))
+    wide = seen.where("key <> 0").groupBy("key").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare"), F.min("host").alias("host"))
+    wide = wide.where((F.col("hosts") >= place_hosts) | (F.col("bare") >= page.MIN_PAGES)).join(mixed, "host", "left")
+    often = stored(wide.where((F.col("hosts") >= place_hosts) | F.col("mixed")).select("key", "bare"))
+    pages = lookup_join(_keys(digest, "host", "path"), often.select("key"), ["key"], "path", "left_semi").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("pages"))
+    placed = stored(often.join(pages, "key").where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("key"))
+    # prose made up of such wording alone, sentence by sentence or clause by clause, is no content either
+    told = own.select("src", "row_id", "no", F.explode(F.concat(F.transform("unit", lambda k: F.struct(k.alias("key"), F.lit(1).alias("by"))), F.transform("clause", lambda k: F.struct(k.alias("key"), F.lit(2).alias("by"))))).alias("k"))
+    other = lookup_join(told.select("src", "row_id", "no", "k.key", "k.by"), placed, ["key"], "row_id", "left_anti")
+    other = other.groupBy("src", "row_id", "no").agg(F.countDistinct("by").alias("n")).where("n = 2").select("src", "row_id")
+    content = own.where(F.size("unit") == 0).select("src", "row_id").unionByName(other)
+    hit = lookup_join(_keys(digest, "src", "row_id", units=True), placed, ["key"], "row_id", "left_semi").select("src", "row_id").distinct()
+    return hit.join(content.distinct(), ["src", "row_id"], "left_anti")
+
+
+def residue_rows(digest: DataFrame, won: page.Winners) -> DataFrame:
+    """(src, row_id, reason), stored: ``slot``, ``filler`` or ``in_place``, the first that holds; a row delivered twice comes once."""
+    why = lambda df, n, name: df.select("src", "row_id", F.struct(F.lit(n).alias("n"), F.lit(name).alias("reason")).alias("w"))
+    rows = why(unfilled_rows(digest), 0, "slot").unionByName(why(digest.where("filler"), 1, "filler")).unionByName(why(placed_rows(digest, won), 2, "in_place"))
+    return stored(rows.groupBy("src", "row_id").agg(F.min("w").alias("w")).select("src", "row_id", "w.reason"))
+
+
+class Site:
+    """All that is found out about the pages of a crawl, each step when it is first asked for."""
+
+    def __init__(self, rows: DataFrame, digest: DataFrame | None = None):
+        self.rows = rows
+        self._digest, self._won, self._residue = digest, None, None
+
+    @property
+    def digest(self) -> DataFrame:
+        if self._digest is None:
+            self._digest = page.digests(self.rows)
+        return self._digest
+
+    @property
+    def won(self) -> page.Winners:
+        if self._won is None:
+            self._won = page.winners(self.digest)
+        return self._won
+
+    @property
+    def residue(self) -> DataFrame:
+        """(src, row_id, reason) of the rows left out."""
+        if self._residue is None:
+            self._residue = residue_rows(self.digest, self.won)
+        return self._residue
+
+    def sound(self, df: DataFrame) -> DataFrame:
+        """The rows of a (src, row_id, …) table that are not left out."""
+        return lookup_join(df, self.residue.select("src", "row_id"), ["src", "row_id"], "row_id", "left_anti")
 
 
 def site_rows(pages: DataFrame, discovered: DataFrame) -> DataFrame:
@@ -147,116 +214,3 @@ def site_rows(pages: DataFrame, discovered: DataFrame) -> DataFrame:
     a = pages.select(F.lit("pages").alias("src"), F.col("page_id").alias("row_id"), F.col("domain").alias("host"), F.lit("/").alias("path"), "text", "declared_lang")
     b = discovered.select(F.lit("discovered_pages").alias("src"), F.col("dpage_id").alias("row_id"), F.col("domain").alias("host"), "path", "text", "declared_lang")
     return a.unionByName(b).where(F.col("row_id").isNotNull() & (F.length("text") > 0))
-
-
-def _bounded(df: DataFrame, bound: int, what: str) -> list[tuple]:
-    """The rows of a table that must not be larger than ``bound``, column by column through Arrow."""
-    got = df.limit(bound + 1).toArrow()
-    if got.num_rows > bound:
-        raise ValueError(f"more {what} than the bound of {bound}")
-    return list(zip(*(c.to_pylist() for c in got.columns)))
-
-
-def _bare_rows(model_b):
-    """(key, host, path) of the wordings on pages without prose of their own, and with key 0 of each such page."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        model = model_b.value
-        for b in batches:
-            out: tuple[list, ...] = ([], [], [])
-            for host, path, keys, prose, plus, minus in zip(*(c.to_pylist() for c in b.columns)):
-                chrome = model.chrome_of(host, plus, minus)
-                if all(is_furniture(tuple(forms), chrome) for forms in prose):
-                    out[0].extend([0, *keys])
-                    out[1].extend([host] * (len(keys) + 1))
-                    out[2].extend([path] * (len(keys) + 1))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["key", "host", "path"])
-
-    return run
-
-
-def literal_slots(slots: list[tuple[int, int, int]]) -> tuple[frozenset, frozenset]:
-    """((mark, context) pairs that are wording, and the marks they have) of (mark, context, hosts) rows.
-
-    A context is literal where one mark fills it nearly always, by its hosts; any other place of the mark is a slot.
-    """
-    by_context: dict[int, Counter] = defaultdict(Counter)
-    for m, c, n in slots:
-        if c:
-            by_context[c][m] += n
-    pairs = frozenset((m, c) for c, ms in by_context.items() for m, n in ms.items() if n >= LITERAL_MIN and n >= LITERAL_SHARE * sum(ms.values()))
-    return pairs, frozenset(m for m, _ in pairs)
-
-
-def _own(model: Model, own: DataFrame) -> None:
-    """Gives the model the hosts' own forms: as sets for every task, or beyond the bound as a table."""
-    own = checkpointed(own)
-    if own.count() > page.OWN_BOUND:
-        forms = lambda plus: F.collect_list(F.when(F.col("plus") == plus, F.col("form")))
-        model.own_rows = checkpointed(own.groupBy(F.col("host").alias("_host")).agg(forms(True).alias("_plus"), forms(False).alias("_minus")))
-        return
-    sets: dict[int, tuple[set, set]] = defaultdict(lambda: (set(), set()))
-    for host, form, plus in zip(*(c.to_pylist() for c in own.toArrow().columns)):
-        sets[host][not plus].add(form)
-    model.own = {h: (frozenset(a), frozenset(b)) for h, (a, b) in sets.items()}
-
-
-def fit(rows: DataFrame, place_hosts: int = PLACE_HOSTS) -> Model:
-    """The model of all (host, path, text) rows: one pass over the texts, then aggregates over their digests.
-
-    Only what recurs comes to the driver: furniture forms, marks with their contexts, and wordings found on
-    pages without content of several hosts and hardly on others; each within a checked bound.
-    """
-    sc = rows.sparkSession.sparkContext
-    digest = page.digests(rows)
-    filled = page.fillings(digest)
-    votes = page.host_votes(filled)
-    shared = page.furniture(filled, votes)
-    model = Model(frozenset(r[0] for r in _bounded(shared.select("form"), page.FORMS_BOUND, "furniture forms")), frozenset(), frozenset())
-    _own(model, page.own_forms(votes, shared))
-    marked = digest.where(F.size("mark") > 0).select("host", F.explode(F.arrays_zip("mark", "context")).alias("m"))
-    marked = checkpointed(marked.groupBy("m.mark", "m.context", "host").agg(F.lit(1).alias("one")).groupBy("mark", "context").agg(F.count(F.lit(1)).alias("n")))
-    recur = marked.groupBy("context").agg(F.max("n").alias("most")).where((F.col("most") >= LITERAL_MIN) & (F.col("context") != 0))
-    slots = _bounded(marked.join(recur, "context", "left_semi").select("mark", "context", "n"), MODEL_BOUND, "slots")
-    told = digest.select(F.col("host").alias("_host"), "path", "key", "prose")
-    if model.own_rows is None:
-        told = told.withColumns({c: F.lit(None).cast("array<bigint>") for c in ("_plus", "_minus")})
-    else:
-        told = salted_join(told, model.own_rows, ["_host"], "path", "left")
-    bare = map_arrow(told.select("_host", "path", "key", "prose", "_plus", "_minus"), _bare_rows(sc.broadcast(model)), "key bigint, host bigint, path bigint")
-    bare = bare.groupBy("key", "host", "path").agg(F.lit(1).alias("one")).groupBy("key", "host").agg(F.count(F.lit(1)).alias("n"))
-    bare = checkpointed(bare)
-    # a template of one host: on several paths of a host most of whose pages have content
-    sizes = digest.groupBy("host", "path").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("size"))
-    mixed = bare.where("key = 0").join(sizes, "host").where(2 * F.col("n") < F.col("size")).select("host", F.lit(True).alias("mixed"))
-    wide = bare.where("key <> 0").groupBy("key").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare"), F.min("host").alias("host"))
-    wide = wide.where((F.col("hosts") >= place_hosts) | (F.col("bare") >= page.MIN_PAGES)).join(mixed, "host", "left")
-    often = checkpointed(wide.where((F.col("hosts") >= place_hosts) | F.col("mixed")).select("key", "bare"))
-    pages = filled.join(often.select("key"), "key", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
-    placed = often.join(pages, "key").where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("key")
-    in_place = frozenset(r[0] for r in _bounded(placed, MODEL_BOUND, "wordings"))
-    return replace(model, literal=literal_slots(slots)[0], in_place=in_place)
-
-
-def _residue(model_b):
-    def run(batches):
-        import pyarrow as pa
-
-        known, model = Lines(), model_b.value
-        for b in batches:
-            rows = []
-            for s, i, t, *host in zip(*(c.to_pylist() for c in b.columns)):
-                t = repair(t)[1]
-                if why := model.residue(Scan(t, known), model.chrome_of(*host)):
-                    rows.append((s, i, why))
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate((pa.string(), pa.int64(), pa.string()))], names=["src", "row_id", "reason"])
-
-    return run
-
-
-def residue_rows(rows: DataFrame, model: Model) -> DataFrame:
-    """(src, row_id, reason) of rows with unfilled marks or filler, or with an error text in place of content."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    return map_arrow(model.keyed(rows, "src", "row_id", "text"), _residue(shared), "src string, row_id bigint, reason string").distinct()
