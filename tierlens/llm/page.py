@@ -29,9 +29,9 @@ KEPT_SHARE = 0.72
 SHARED_SHARE = 0.3
 
 _WORD = re.compile(r"\w+")
-# a made-up code or an address: five consonants in a row, a leading slash, a mail address
-CODE = re.compile(r"(?<!\S)/\S+|\S+@\S+|\b[a-z0-9]*[bcdfghjklmnpqrstvwxz]{5,}[a-z0-9]*\b")
-_MAYBE_CODE = re.compile(r"[bcdfghjklmnpqrstvwxz]{5}|[@/]")
+# a made-up code or an address: a leading slash, a mail address, five consonants in a row
+_ADDRESS = re.compile(r"(?<!\S)/\S+|\S+@\S+")
+_CODE = re.compile(r"[a-z0-9]*[bcdfghjklmnpqrstvwxz]{5,}[a-z0-9]*")
 # The syllables that filler in the manner of "lorem ipsum" is made of.
 SYLLABLES = "lo rem ip ips sum do lor sit a am met con sec te tet tur ad pi pis sci sc cing el eli it lit se sed ei us eius mod tem por in ci cid di dunt ut la lab bo re et unt du id tam ti um mag na ali qua men ven quis nos trud ex er ul lam co ris ni si ea com mo quat ir ure vo lup ta ve es cil fu gi at nul pa ri"
 _FILLER_WORD = re.compile(f"(?:{'|'.join(sorted(set(SYLLABLES.split()), key=lambda x: -len(x)))})+$")
@@ -39,12 +39,12 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 FILLER_WORDS, FILLER_SHARE = 5, 0.8
 _DECOR_FRONT, _DECOR_BACK = " *•-–—>»›#·|\t\r", " ›»|·\t\r"
 _PARTS = re.compile(r"\s+[|»·›]\s+|\s+[/>]\s+|\s{2,}|\t")
-_SEPARATOR = re.compile(r"[|»·›\t]|\s{2}| [/>] ")
 BULLET = re.compile(r"^\s*(?:[*•\-–>]|\d+[.)])\s+")
 _BYLINE = re.compile(r"(?:,\s*(?:19|20)\d\d|[|·]\s*\d+\s+\S+(?:\s+\S+){0,3})\s*$")
 #: Where a line of prose is divided into clauses, and these into sentences; a unit is a sentence of a clause.
 _CLAUSE = re.compile(r"\s+[-–—|]\s+|:\s+")
 _SENTENCE = re.compile(r"(?<=[.!?…])[»”“\"’)]*\s+")
+_MAYBE_UNITS = re.compile(r"[.!?…:–—|»”“\"’)-]\s")
 #: A unit with fewer letters than this says nothing by itself.
 UNIT_LETTERS = 12
 #: A longer part is furniture only where its very letters recur; its form is made of its units' letters.
@@ -62,7 +62,7 @@ def bare(line: str) -> str:
 
 def parts_of(line: str) -> list[str]:
     s = bare(line)
-    if not _SEPARATOR.search(s):
+    if not ("  " in s or "|" in s or "»" in s or "·" in s or "›" in s or "\t" in s or " / " in s or " > " in s):
         return [s] if s else []
     return [p for p in _PARTS.split(s) if p]
 
@@ -72,29 +72,43 @@ def units_of(line: str) -> list[str]:
     return [u for c in _CLAUSE.split(line) for u in _SENTENCE.split(c) if u]
 
 
+class _Remembered(dict):
+    """What a word becomes, found once; emptied when it grows past its bound."""
+
+    bound = 400_000
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> str:
+        if len(self) >= self.bound:
+            self.clear()
+        got = self[word] = self.make(word)
+        return got
+
+
+_slots = _Remembered(lambda w: "0" if not w.isalpha() else "N" if w[0].isupper() else "0" if _CODE.fullmatch(w) else w)
+
+
 def form_and_letters(part: str) -> tuple[str, str]:
-    """The generalised form of a part (names N, numbers and codes 0) and its lower-case letters.
+    """The generalised form of a part (names N, numbers and codes 0, each once in a row) and its lower-case letters.
 
     A part without small letters, or of names and numbers alone, has its letters for a form.
     """
-    if _MAYBE_CODE.search(part):
-        part = CODE.sub("0", part)
-    words, out, last = _WORD.findall(part), [], ""
-    key = "".join([w for w in words if w.isalpha()]).lower()
+    if "@" in part or "/" in part:
+        part = _ADDRESS.sub("0", part)
+    words = _WORD.findall(part)
+    slots = [_slots[w] for w in words]
+    key = "".join(words if "0" not in slots else [w for w, x in zip(words, slots) if x != "0"]).lower()
     if part.upper() == part:
         return (key and "=" + key), key
-    plain = False
-    for w in words:
-        if w[0].isupper():
-            w = "N"
-        elif not w.isalpha():
-            w = "0"
-        else:
-            plain = True
-        if w != last or w not in "N0":
-            out.append(w)
-        last = w
-    return (" ".join(out) if plain else (key and "=" + key)), key
+    form = f" {' '.join(slots)} "
+    while " N N " in form:
+        form = form.replace(" N N ", " N ")
+    while " 0 0 " in form:
+        form = form.replace(" 0 0 ", " 0 ")
+    return (form[1:-1] if form.strip(" N0") else (key and "=" + key)), key
 
 
 def _closed(s: str) -> bool:
@@ -147,52 +161,55 @@ class Line:
             self.forms = self.keys = ()
             self.flags = 0
             return
-        n, flags = len(parts), 0
+        n, part = len(parts), known.part
+        flags = n << _PARTS_AT if n < 1 << 16 else 1 << 16 + _PARTS_AT
         words = line.count(" ") + 1
-        banner = line.startswith("+++") or line.endswith("+++")
-        prose = is_prose(line)
-        filler = words >= FILLER_WORDS and n == 1 and is_filler(line)
-        if prose and not filler:
-            clauses = [[known.part(u) for u in _SENTENCE.split(c) if u] for c in _CLAUSE.split(line) if c]
+        prose = len(line) >= PROSE_CHARS and is_prose(line)
+        if prose and n == 1 and is_filler(line):  # never furniture, however often it recurs
+            self.forms = self.keys = (0,) * n
+            flags |= FILLER
+        elif prose:
+            clauses = [[part(u) for u in _SENTENCE.split(c) if u] for c in _CLAUSE.split(line) if c]
             units = [u for c in clauses for u in c]
             self.units = tuple([k for _, k, letters in units if len(letters) >= UNIT_LETTERS])
             self.clauses = tuple([c[0][1] if len(c) == 1 else h64(key) for c in clauses if len(key := "".join([x for _, _, x in c])) >= UNIT_LETTERS])
             self.unit_forms = tuple([f for f, _, _ in units if f])
-        if n == 1 and len(parts[0]) > _LONG:
-            long = h64("".join([x for c in clauses for _, _, x in c]) if self.unit_forms else known.part(parts[0])[2])
-            self.forms = self.keys = (long,)
-        else:
-            both = [known.part(p) for p in parts]
-            self.forms, self.keys = tuple([f for f, _, _ in both]), tuple([k for _, k, _ in both])
-        if prose and not filler:
             flags |= PROSE
-        else:
-            bullet = bool(BULLET.match(line))
-            if filler:  # never furniture, however often it recurs
-                flags |= FILLER
-                self.forms = self.keys = (0,) * n
-            if n == 1 and words > 1 and line.isupper():
-                flags |= CAPS
-            if bullet:
-                flags |= BULLETED
-            if _is_entry(line):
-                flags |= ENTRY
-            if _BYLINE.search(line):
-                flags |= BYLINE
-            if n == 1 and not bullet and not _closed(line):
-                flags |= OPENS
-            if not filler and len(said := units_of(line)) > 1:
-                self.said = tuple([k for _, k, letters in map(known.part, said) if len(letters) >= UNIT_LETTERS])
-            self.heads = tuple([f for sep in (" - ", ": ", " – ") if sep in raw and (f := known.part(bare(raw.partition(sep)[0]))[0])])
-        if banner:
+        if n == 1 and not flags & FILLER:
+            p = parts[0]
+            if len(p) > _LONG:
+                form = key = h64("".join([x for _, _, x in units]) if prose else part(p)[2])
+            else:
+                form, key, _ = part(p)
+            self.forms, self.keys = (form,), (key,)
+        elif n > 1:
+            both = [part(p) for p in parts]
+            self.forms, self.keys = tuple([f for f, _, _ in both]), tuple([k for _, k, _ in both])
+        first, end = line[0], line[-1]
+        if first == "+" and line.startswith("+++") or end == "+" and line.endswith("+++"):
             flags |= BANNER
         if words >= 3:
             flags |= THREE
-        if line.startswith("# "):
+        if first == "#" and line[:2] == "# ":
             flags |= HEADED
-        if line[0] == ">":
+        elif first == ">":
             flags |= QUOTED
-        self.flags = flags | min(n, 1 << 16) << _PARTS_AT
+        if not flags & (PROSE | FILLER):
+            if n == 1 and words > 1 and line.isupper():
+                flags |= CAPS
+            if (first in "*•-–>" or first.isdigit()) and BULLET.match(line):
+                flags |= BULLETED
+            elif n == 1 and not _closed(line):
+                flags |= OPENS
+            if ("," in line or "|" in line or "—" in line or "–" in line or "·" in line or "/" in line) and _is_entry(line):
+                flags |= ENTRY
+            if (end.isdigit() or "|" in line or "·" in line) and _BYLINE.search(line):
+                flags |= BYLINE
+            if _MAYBE_UNITS.search(line):
+                if len(said := units_of(line)) > 1:
+                    self.said = tuple([k for _, k, letters in map(part, said) if len(letters) >= UNIT_LETTERS])
+                self.heads = tuple([f for sep in (" - ", ": ", " – ") if sep in raw and (f := part(bare(raw.partition(sep)[0]))[0])])
+        self.flags = flags
 
 
 class Lines:
@@ -306,6 +323,13 @@ def to_batch(rows: list[tuple], extra: tuple[tuple[str, object], ...] = ()):
     return pa.RecordBatch.from_arrays(out + [pa.array(c, k) for c, (_, k) in zip(cols[len(names) :], extra)], names=[*names, *(n for n, _ in extra)])
 
 
+def few_collections() -> None:
+    """The passes make many small objects and no cycles of them: looking for cycles seldom saves a tenth of the time."""
+    import gc
+
+    gc.set_threshold(200_000, 50, 50)
+
+
 def keyed(rows: DataFrame, *more) -> DataFrame:
     """The (src, row_id, host, path, text) of the rows that take part, hosts and paths as hashes."""
     given = rows.where(F.col("row_id").isNotNull() & (F.length("text") > 0))
@@ -321,6 +345,7 @@ def digests(rows: DataFrame) -> DataFrame:
     def run(batches):
         from .encoding import repair
 
+        few_collections()
         known, speller = Lines(), shared.value
         for b in batches:
             out = []
@@ -349,10 +374,12 @@ def _kept() -> Column:
 
 
 class Winners:
-    """The furniture forms: ``own`` (host, form, plus) where a host decides by itself, ``shared`` (form) for the others."""
+    """The furniture forms: ``own`` (host, form, pages, plus) where a host decides by itself, ``shared`` (form) for the
+    others; and what they were won from, ``filled`` (form, key, host, pages) and ``votes`` (form, host, pages, fillings).
+    """
 
-    def __init__(self, own: DataFrame, shared: DataFrame):
-        self.own, self.shared = own, shared
+    def __init__(self, own: DataFrame, shared: DataFrame, filled: DataFrame, votes: DataFrame):
+        self.own, self.shared, self.filled, self.votes = own, shared, filled, votes
 
     def sets(self, limit: int = BROADCAST_ROWS):
         """(shared forms, host -> (furniture here, content here)) where there are at most ``limit`` of them, else None."""
@@ -393,7 +420,7 @@ def winners(digest: DataFrame, min_pages: int = MIN_PAGES) -> Winners:
     shared = stored(several.join(spread, "form").select("form", by_hosts.alias("by_hosts"), by_all.alias("by_all")).where("by_hosts or by_all").select("form", "by_all"))
     own = votes.where(F.col("pages") >= min_pages).select("host", "form", "pages", _kept().alias("plus")).join(shared, "form", "left")
     own = own.where(F.when(F.col("plus"), F.col("by_all").isNull()).otherwise(~F.col("by_all"))).select("host", "form", "pages", "plus")
-    return Winners(stored(own), shared.select("form"))
+    return Winners(stored(own), shared.select("form"), filled, votes)
 
 
 class HostForms:

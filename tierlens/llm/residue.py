@@ -15,6 +15,7 @@ checks, demands for scripts, sample text).
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import DataFrame
@@ -54,12 +55,29 @@ _WEAK = (
 # What programs print for a value they do not have, and what authors leave for one to come.
 _WORDS = (r"\bundefined\b", r"\bNaN\b", r"\b(?:TODO|FIXME|TBD)\b")
 _MARK = re.compile("|".join((*(f"(?P<s{i}>{p})".replace(r"\1", f"(?P=sign{i})").replace("([$%@#]{1,2})", f"(?P<sign{i}>[$%@#]{{1,2}})") for i, p in enumerate(_STRONG)), f"(?P<weak>{'|'.join(_WEAK)})", f"(?P<word>{'|'.join(_WORDS)})")))
-_SIGNS = ("{", "[", "<", "$", "%", " ,", "_", "@", " :", "|*", "##", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD", "NAME")
+#: What every mark has one of.
+_SIGNS = ("{", "[", "<", "$", "%", "_", " ,", "@@", " @", "\n@", "|*", "##", " :a", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD", *(f" :{c}" for c in "bcdefghijklmnopqrstuvwxyz"), *(w.upper() for w in FIELDS.split() if len(w) > 3))
 _QUOTES = frozenset("\"'“”„‘’«»‹›`")
 #: Stands in a mark's place: written large it is a name, written small a word of the unit.
 _NAME, _PLAIN = "Qzqz", "qzqz"
 
 
+@functools.cache
+def _signs():
+    import ahocorasick
+
+    a = ahocorasick.Automaton()
+    for sign in _SIGNS:
+        a.add_word(sign, 1)
+    a.make_automaton()
+    return a
+
+
+def _maybe(s: str) -> bool:
+    """May there be a mark in it?"""
+    return next(_signs().iter(s), None) is not None or s[:1] in ("@", ":")
+
+
 def _found(line: str):
     """(start, end, kind) of the marks in a line; those between quotation marks and in code are examples."""
     out = []
@@ -82,10 +100,10 @@ def _found(line: str):
 def marks_of(text: str, known: Lines) -> tuple[list, list, list, list, list]:
     """The marks of a text: hash, kind, unit with the mark, unit's letters, and form of the unit with a name in its place."""
     out: tuple[list, ...] = ([], [], [], [], [])
-    if not any(sign in text for sign in _SIGNS):
+    if not _maybe(text):
         return out
     for raw in text.split("\n"):
-        if not any(sign in raw for sign in _SIGNS) or not (spans := _found(raw)):
+        if not _maybe(raw) or not (spans := _found(raw)):
             continue
         pieces, at = [], 0
         for a, z, _ in spans:
@@ -114,15 +132,16 @@ def marks_of(text: str, known: Lines) -> tuple[list, list, list, list, list]:
     return out
 
 
-def unfilled_rows(digest: DataFrame) -> DataFrame:
+def unfilled_rows(digest: DataFrame, won: page.Winners) -> DataFrame:
     """(src, row_id) of the rows with a slot that kept its variable, a default or a blank."""
     marks = stored(
         digest.where(F.size("mark") > 0).select("src", "row_id", "host", "path", F.explode(F.arrays_zip("mark", "mark_kind", "mark_in", "mark_with", "mark_as")).alias("m"))
         .select("src", "row_id", "host", "path", "m.mark", F.col("m.mark_kind").bitwiseAND(3).alias("kind"), (F.col("m.mark_kind").bitwiseAND(ALONE) > 0).alias("alone"), (F.col("m.mark_kind").bitwiseAND(FIELD) > 0).alias("field"), "m.mark_in", "m.mark_with", F.col("m.mark_as").alias("form"))
     )
     wanted = stored(marks.select("form").where("form <> 0").distinct())
-    units = digest.select("host", "path", F.explode(F.array_distinct(F.concat("unit_form", "form"))).alias("form"))
-    filled = lookup_join(units, wanted, ["form"], "path", "left_semi").distinct().groupBy("form").agg(F.count(F.lit(1)).alias("filled"))
+    units = lookup_join(digest.select("host", "path", F.explode("unit_form").alias("form")), wanted, ["form"], "path", "left_semi").distinct()
+    parts = lookup_join(won.votes, wanted, ["form"], "host", "left_semi").select("form", "pages")
+    filled = units.groupBy("form").agg(F.count(F.lit(1)).alias("pages")).unionByName(parts).groupBy("form").agg(F.sum("pages").alias("filled"))
     aligned = filled.where(F.col("filled") >= FILLED_PAGES).select("form", F.lit(True).alias("aligned"))
     kept = marks.groupBy("mark_in").agg(F.countDistinct("mark_with").alias("fillings"), F.countDistinct("host", "path").alias("pages"))
     told = stored(marks.join(aligned, "form", "left").join(kept, "mark_in").withColumn("aligned", F.coalesce("aligned", F.lit(False))))
@@ -160,21 +179,22 @@ def placed_rows(digest: DataFrame, won: page.Winners, place_hosts: int = PLACE_H
     wide = seen.where("key <> 0").groupBy("key").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare"), F.min("host").alias("host"))
     wide = wide.where((F.col("hosts") >= place_hosts) | (F.col("bare") >= page.MIN_PAGES)).join(mixed, "host", "left")
     often = stored(wide.where((F.col("hosts") >= place_hosts) | F.col("mixed")).select("key", "bare"))
-    pages = lookup_join(_keys(digest, "host", "path"), often.select("key"), ["key"], "path", "left_semi").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("pages"))
+    pages = lookup_join(won.filled, often.select("key"), ["key"], "host", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
     placed = stored(often.join(pages, "key").where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("key"))
     # prose made up of such wording alone, sentence by sentence or clause by clause, is no content either
     told = own.select("src", "row_id", "no", F.explode(F.concat(F.transform("unit", lambda k: F.struct(k.alias("key"), F.lit(1).alias("by"))), F.transform("clause", lambda k: F.struct(k.alias("key"), F.lit(2).alias("by"))))).alias("k"))
     other = lookup_join(told.select("src", "row_id", "no", "k.key", "k.by"), placed, ["key"], "row_id", "left_anti")
     other = other.groupBy("src", "row_id", "no").agg(F.countDistinct("by").alias("n")).where("n = 2").select("src", "row_id")
-    content = own.where(F.size("unit") == 0).select("src", "row_id").unionByName(other)
-    hit = lookup_join(_keys(digest, "src", "row_id", units=True), placed, ["key"], "row_id", "left_semi").select("src", "row_id").distinct()
-    return hit.join(content.distinct(), ["src", "row_id"], "left_anti")
+    content = own.where(F.size("unit") == 0).select("src", "row_id").unionByName(other).distinct()
+    without = bare.unionByName(own.select("src", "row_id").distinct().join(content, ["src", "row_id"], "left_anti"))
+    rest = lookup_join(digest, stored(without), ["src", "row_id"], "row_id", "left_semi")
+    return lookup_join(_keys(rest, "src", "row_id", units=True), placed, ["key"], "row_id", "left_semi").select("src", "row_id").distinct()
 
 
 def residue_rows(digest: DataFrame, won: page.Winners) -> DataFrame:
     """(src, row_id, reason), stored: ``slot``, ``filler`` or ``in_place``, the first that holds; a row delivered twice comes once."""
     why = lambda df, n, name: df.select("src", "row_id", F.struct(F.lit(n).alias("n"), F.lit(name).alias("reason")).alias("w"))
-    rows = why(unfilled_rows(digest), 0, "slot").unionByName(why(digest.where("filler"), 1, "filler")).unionByName(why(placed_rows(digest, won), 2, "in_place"))
+    rows = why(unfilled_rows(digest, won), 0, "slot").unionByName(why(digest.where("filler"), 1, "filler")).unionByName(why(placed_rows(digest, won), 2, "in_place"))
     return stored(rows.groupBy("src", "row_id").agg(F.min("w").alias("w")).select("src", "row_id", "w.reason"))
 
 
