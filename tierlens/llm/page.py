@@ -186,6 +186,13 @@ class Line:
             both = [part(p) for p in parts]
             self.forms, self.keys = tuple([f for f, _, _ in both]), tuple([k for _, k, _ in both])
         first, end = line[0], line[-1]
+        if not known.roles:
+            if not prose and _MAYBE_UNITS.search(line) and len(said := units_of(line)) > 1:
+                self.said = tuple([k for _, k, letters in map(part, said) if len(letters) >= UNIT_LETTERS])
+            if first == "+" and line.startswith("+++") or end == "+" and line.endswith("+++"):
+                flags |= BANNER
+            self.flags = flags
+            return
         if first == "+" and line.startswith("+++") or end == "+" and line.endswith("+++"):
             flags |= BANNER
         if words >= 3:
@@ -215,10 +222,12 @@ class Line:
 class Lines:
     """What was found out about lines and parts, remembered for those that recur, as far as the bound goes."""
 
-    bound = 200_000
+    bound, long_bound = 200_000, 20_000
 
-    def __init__(self):
+    def __init__(self, roles: bool = True):
+        self.roles = roles
         self._lines: dict[str, Line] = {}
+        self._long: dict[str, Line] = {}
         self._parts: dict[str, tuple[int, int, str]] = {}
 
     def part(self, s: str) -> tuple[int, int, str]:
@@ -234,13 +243,12 @@ class Lines:
         return got
 
     def of(self, raw: str) -> Line:
-        got = self._lines.get(raw)
+        kept, bound = (self._lines, self.bound) if len(raw) <= _LONG else (self._long, self.long_bound)
+        got = kept.get(raw)
         if got is None:
-            got = Line(raw, self)
-            if len(raw) <= _LONG:
-                if len(self._lines) >= self.bound:
-                    self._lines.clear()
-                self._lines[raw] = got
+            if len(kept) >= bound:
+                kept.clear()
+            got = kept[raw] = Line(raw, self)
         return got
 
 
@@ -336,8 +344,8 @@ def keyed(rows: DataFrame, *more) -> DataFrame:
     return given.select("src", "row_id", host_key().alias("host"), F.xxhash64(F.coalesce("path", F.lit(""))).alias("path"), "text", *more)
 
 
-def digests(rows: DataFrame) -> DataFrame:
-    """The digest of every row, stored: the one pass over the texts."""
+def digests(rows: DataFrame, roles: bool = True) -> DataFrame:
+    """The digest of every row, stored: the one pass over the texts. Without ``roles`` it lacks what only ``roles_of`` needs."""
     from .encoding import speller_of
 
     shared = rows.sparkSession.sparkContext.broadcast(speller_of(rows))
@@ -346,7 +354,7 @@ def digests(rows: DataFrame) -> DataFrame:
         from .encoding import repair
 
         few_collections()
-        known, speller = Lines(), shared.value
+        known, speller = Lines(roles), shared.value
         for b in batches:
             out = []
             for src, row, host, path, text in zip(*(c.to_pylist() for c in b.columns)):
@@ -357,20 +365,31 @@ def digests(rows: DataFrame) -> DataFrame:
     return stored(map_arrow(keyed(rows), run, DIGEST))
 
 
+#: The weight of a page; each of its k fetches has 1/k of it. Divisible by all small k.
+ONE_PAGE = 2520
+
+
 def fillings(digest: DataFrame) -> DataFrame:
-    """(form, key, host, pages): on how many pages of a host a form has a filling; a page fetched again counts once."""
-    seen = digest.select("host", "path", F.explode(F.array_distinct(F.arrays_zip("form", "key"))).alias("p")).select("host", "path", "p.form", "p.key").where("key <> 0")
-    pages = seen.groupBy("form", "key", "host", "path").agg(F.lit(1).alias("one"))
-    return stored(pages.groupBy("form", "key", "host").agg(F.count(F.lit(1)).cast("int").alias("pages")))
+    """(form, key, host, pages): on how many pages of a host a form has a filling, in parts of a page (``ONE_PAGE``).
+
+    A page fetched again counts once: its fetches share its weight. So the lines are counted in one aggregate that
+    combines before the exchange, and nothing is made distinct first.
+    """
+    fetched = digest.groupBy("host", "path").agg(F.count(F.lit(1)).alias("fetches"))
+    again = stored(fetched.where("fetches > 1"))
+    weighed = lookup_join(digest.select("host", "path", "form", "key"), again, ["host", "path"], F.monotonically_increasing_id(), "left")
+    weight = F.floor(F.lit(ONE_PAGE) / F.coalesce("fetches", F.lit(1)))
+    seen = weighed.select("host", weight.alias("w"), F.explode(F.array_distinct(F.arrays_zip("form", "key"))).alias("p")).select("host", "w", "p.form", "p.key").where("key <> 0")
+    return stored(seen.groupBy("form", "key", "host").agg(F.sum("w").alias("pages")))
 
 
 def host_votes(filled: DataFrame) -> DataFrame:
     """(form, host, pages, fillings) of every host that has the form."""
-    return filled.groupBy("form", "host").agg(F.sum("pages").cast("int").alias("pages"), F.count(F.lit(1)).cast("int").alias("fillings"))
+    return filled.groupBy("form", "host").agg(F.sum("pages").alias("pages"), F.count(F.lit(1)).cast("int").alias("fillings"))
 
 
 def _kept() -> Column:
-    return F.col("fillings") <= KEPT_SHARE * F.col("pages")
+    return F.col("fillings") * ONE_PAGE <= KEPT_SHARE * F.col("pages")
 
 
 class Winners:
@@ -407,7 +426,7 @@ def winners(digest: DataFrame, min_pages: int = MIN_PAGES) -> Winners:
     """
     filled = fillings(digest)
     votes = stored(host_votes(filled))
-    told = F.col("pages") >= 2
+    told = F.col("pages") >= 2 * ONE_PAGE
     forms = votes.groupBy("form").agg(
         F.sum("pages").alias("pages"), F.count(F.lit(1)).alias("hosts"), F.count_if(told).alias("told"), F.count_if(told & _kept()).alias("kept")
     ).where(F.col("hosts") >= 2)
@@ -415,10 +434,10 @@ def winners(digest: DataFrame, min_pages: int = MIN_PAGES) -> Winners:
     shares = filled.join(several.select("form"), "form", "left_semi").join(votes.select("form", "host", "fillings"), ["form", "host"])
     keys = shares.groupBy("form", "key").agg((F.sum(1 / F.col("fillings")) / F.count(F.lit(1))).alias("share"))
     spread = keys.groupBy("form").agg(F.round(F.sum("share"), 6).alias("spread"))
-    by_hosts = (F.col("pages") >= min_pages) & (2 * F.col("kept") > F.col("told"))
+    by_hosts = (F.col("pages") >= min_pages * ONE_PAGE) & (2 * F.col("kept") > F.col("told"))
     by_all = F.col("spread") <= F.greatest(F.lit(1.1), SHARED_SHARE * F.col("hosts"))
     shared = stored(several.join(spread, "form").select("form", by_hosts.alias("by_hosts"), by_all.alias("by_all")).where("by_hosts or by_all").select("form", "by_all"))
-    own = votes.where(F.col("pages") >= min_pages).select("host", "form", "pages", _kept().alias("plus")).join(shared, "form", "left")
+    own = votes.where(F.col("pages") >= min_pages * ONE_PAGE).select("host", "form", "pages", _kept().alias("plus")).join(shared, "form", "left")
     own = own.where(F.when(F.col("plus"), F.col("by_all").isNull()).otherwise(~F.col("by_all"))).select("host", "form", "pages", "plus")
     return Winners(stored(own), shared.select("form"), filled, votes)
 

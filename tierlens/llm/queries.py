@@ -26,8 +26,8 @@ def _rows(spark: SparkSession, folder: str) -> DataFrame:
     return residue.site_rows(table(spark, folder, "pages"), table(spark, folder, "discovered_pages"))
 
 
-def _site(spark: SparkSession, folder: str) -> residue.Site:
-    return residue.Site(_rows(spark, folder))
+def _site(spark: SparkSession, folder: str, roles: bool = False) -> residue.Site:
+    return residue.Site(_rows(spark, folder), roles=roles)
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,11 +54,11 @@ def p3_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    return boilerplate.main_lines(_site(spark, folder))
+    return boilerplate.main_lines(_site(spark, folder, roles=True))
 
 
 def p4_bodies(spark: SparkSession, folder: str) -> DataFrame:
-    return boilerplate.main_bodies(_site(spark, folder))
+    return boilerplate.main_bodies(_site(spark, folder, roles=True))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:

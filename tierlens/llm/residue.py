@@ -140,7 +140,7 @@ def unfilled_rows(digest: DataFrame, won: page.Winners) -> DataFrame:
     )
     wanted = stored(marks.select("form").where("form <> 0").distinct())
     units = lookup_join(digest.select("host", "path", F.explode("unit_form").alias("form")), wanted, ["form"], "path", "left_semi").distinct()
-    parts = lookup_join(won.votes, wanted, ["form"], "host", "left_semi").select("form", "pages")
+    parts = lookup_join(won.votes, wanted, ["form"], "host", "left_semi").select("form", (F.col("pages") / page.ONE_PAGE).alias("pages"))
     filled = units.groupBy("form").agg(F.count(F.lit(1)).alias("pages")).unionByName(parts).groupBy("form").agg(F.sum("pages").alias("filled"))
     aligned = filled.where(F.col("filled") >= FILLED_PAGES).select("form", F.lit(True).alias("aligned"))
     kept = marks.groupBy("mark_in").agg(F.countDistinct("mark_with").alias("fillings"), F.countDistinct("host", "path").alias("pages"))
@@ -164,10 +164,15 @@ def _keys(digest: DataFrame, *columns: str, units: bool = False) -> DataFrame:
 
 def placed_rows(digest: DataFrame, won: page.Winners, place_hosts: int = PLACE_HOSTS) -> DataFrame:
     """(src, row_id) of the rows in which wording that stands in place of content is all there is beside furniture."""
-    lines = digest.select("src", "row_id", "host", F.posexplode(F.arrays_zip("prose", "unit", "clause")).alias("no", "p")).select("src", "row_id", "host", "no", F.col("p.prose").alias("forms"), F.col("p.unit").alias("unit"), F.col("p.clause").alias("clause"))
-    parts = lines.select("src", "row_id", "host", "no", F.size("forms").alias("n"), "unit", "clause", F.explode("forms").alias("form"), F.xxhash64("row_id", "no").alias("_at"))
-    met = won.meet(parts).groupBy("src", "row_id", "no").agg(F.count_if("furniture").alias("hits"), F.first("n").alias("n"), F.first("unit").alias("unit"), F.first("clause").alias("clause"))
-    own = stored(met.where((F.col("hits") == 0) | (2 * F.col("hits") < F.col("n"))).select("src", "row_id", "no", "unit", "clause"))
+    lines = digest.select("src", "row_id", "host", F.posexplode(F.arrays_zip("prose", "unit", "clause")).alias("no", "p"))
+    lines = lines.select("src", "row_id", "host", "no", F.col("p.prose").alias("forms"), F.col("p.unit").alias("unit"), F.col("p.clause").alias("clause"), F.xxhash64("row_id", "no").alias("_at"))
+    # nearly all lines of prose are one part; of the others half of the parts decide
+    one = won.meet(lines.where(F.size("forms") == 1).withColumn("form", F.col("forms")[0])).where(~F.col("furniture"))
+    several = lines.where(F.size("forms") > 1).withColumn("n", F.size("forms")).withColumn("form", F.explode("forms"))
+    several = won.meet(several).groupBy("src", "row_id", "no").agg(F.count_if("furniture").alias("hits"), F.first("n").alias("n"), F.first("unit").alias("unit"), F.first("clause").alias("clause"))
+    several = several.where((F.col("hits") == 0) | (2 * F.col("hits") < F.col("n")))
+    columns = ("src", "row_id", "no", "unit", "clause")
+    own = stored(one.select(*columns).unionByName(several.select(*columns)))
     # pages without content, and the wordings on them
     bare = stored(digest.select("src", "row_id").distinct().join(own.select("src", "row_id").distinct(), ["src", "row_id"], "left_anti"))
     without = lookup_join(digest, bare, ["src", "row_id"], "row_id", "left_semi")
@@ -179,13 +184,17 @@ def placed_rows(digest: DataFrame, won: page.Winners, place_hosts: int = PLACE_H
     wide = seen.where("key <> 0").groupBy("key").agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("bare"), F.min("host").alias("host"))
     wide = wide.where((F.col("hosts") >= place_hosts) | (F.col("bare") >= page.MIN_PAGES)).join(mixed, "host", "left")
     often = stored(wide.where((F.col("hosts") >= place_hosts) | F.col("mixed")).select("key", "bare"))
-    pages = lookup_join(won.filled, often.select("key"), ["key"], "host", "left_semi").groupBy("key").agg(F.sum("pages").alias("pages"))
+    pages = lookup_join(won.filled, often.select("key"), ["key"], "host", "left_semi").groupBy("key").agg((F.sum("pages") / page.ONE_PAGE).alias("pages"))
     placed = stored(often.join(pages, "key").where(F.col("bare") >= PLACE_SHARE * F.col("pages")).select("key"))
-    # prose made up of such wording alone, sentence by sentence or clause by clause, is no content either
-    told = own.select("src", "row_id", "no", F.explode(F.concat(F.transform("unit", lambda k: F.struct(k.alias("key"), F.lit(1).alias("by"))), F.transform("clause", lambda k: F.struct(k.alias("key"), F.lit(2).alias("by"))))).alias("k"))
+    # prose made up of such wording alone, sentence by sentence or clause by clause, is no content either; it begins with it
+    begins = own.withColumns({"a": F.get("unit", F.lit(0)), "b": F.get("clause", F.lit(0))})
+    for c in ("a", "b"):
+        begins = lookup_join(begins, placed.select(F.col("key").alias(c), F.lit(True).alias(f"placed_{c}")), [c], "row_id", "left")
+    maybe = F.col("placed_a").isNotNull() | F.col("placed_b").isNotNull()
+    told = begins.where(maybe).select("src", "row_id", "no", F.explode(F.concat(F.transform("unit", lambda k: F.struct(k.alias("key"), F.lit(1).alias("by"))), F.transform("clause", lambda k: F.struct(k.alias("key"), F.lit(2).alias("by"))))).alias("k"))
     other = lookup_join(told.select("src", "row_id", "no", "k.key", "k.by"), placed, ["key"], "row_id", "left_anti")
     other = other.groupBy("src", "row_id", "no").agg(F.countDistinct("by").alias("n")).where("n = 2").select("src", "row_id")
-    content = own.where(F.size("unit") == 0).select("src", "row_id").unionByName(other).distinct()
+    content = begins.where(~maybe).select("src", "row_id").unionByName(other).distinct()
     without = bare.unionByName(own.select("src", "row_id").distinct().join(content, ["src", "row_id"], "left_anti"))
     rest = lookup_join(digest, stored(without), ["src", "row_id"], "row_id", "left_semi")
     return lookup_join(_keys(rest, "src", "row_id", units=True), placed, ["key"], "row_id", "left_semi").select("src", "row_id").distinct()
@@ -199,16 +208,19 @@ def residue_rows(digest: DataFrame, won: page.Winners) -> DataFrame:
 
 
 class Site:
-    """All that is found out about the pages of a crawl, each step when it is first asked for."""
+    """All that is found out about the pages of a crawl, each step when it is first asked for.
 
-    def __init__(self, rows: DataFrame, digest: DataFrame | None = None):
-        self.rows = rows
+    ``roles`` says whether the main bodies will be asked for.
+    """
+
+    def __init__(self, rows: DataFrame, digest: DataFrame | None = None, roles: bool = True):
+        self.rows, self.roles = rows, roles
         self._digest, self._won, self._residue = digest, None, None
 
     @property
     def digest(self) -> DataFrame:
         if self._digest is None:
-            self._digest = page.digests(self.rows)
+            self._digest = page.digests(self.rows, self.roles)
         return self._digest
 
     @property
