@@ -101,8 +101,8 @@ def test_boards(spark, url, want):
 def test_board_counts_and_guesses(spark):
     one = lambda c: spark.range(1).select(c).first()[0]
     got = one(boards.counts_from_json(F.lit("greenhouse"), F.lit('{"jobs":[{"title":"A"},{"title":""}],"meta":{"total":7}}')))
-    assert tuple(got) == (7, ["A"])
-    assert tuple(one(boards.counts_from_json(F.lit("greenhouse"), F.lit('{"jobs":[]}')))) == (0, [])
+    assert tuple(got) == (7, ["A"], [])
+    assert tuple(one(boards.counts_from_json(F.lit("greenhouse"), F.lit('{"jobs":[]}')))) == (0, [], [])
     assert one(boards.counts_from_json(F.lit("greenhouse"), F.lit("nothing"))) is None
     assert tuple(one(boards.counts_from_json(F.lit("ashby"), F.lit('{"jobs":[{"title":"A","isListed":false},{"title":"B"}]}')))) == (1, ["B"])
     assert one(boards.slug_guesses(F.lit("www.goshippo.com"))) == ["goshippo", "Goshippo", "shippo", "Shippo", "goshippoinc", "Goshippoinc"]

@@ -7,7 +7,7 @@ import os
 
 import pytest
 
-from tierlens import queries as Q
+from tierlens import queries, site_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
@@ -27,8 +27,8 @@ def _norm(rows):
     return sorted((tuple(None if isinstance(v, float) and math.isnan(v) else str(v) for v in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", list(Q.queries()))
-def test_query(spark, duck, name):
+@pytest.mark.parametrize("Q, name", [(q, n) for q in (queries, site_queries) for n in q.queries()])
+def test_query(spark, duck, Q, name):
     df = Q.queries()[name](spark, FOLDER)
     cols = sorted(df.columns)
     got = _norm(map(tuple, df.select(*cols).collect()))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -68,21 +68,109 @@ def slug_guesses(domain: Column, limit: int = 6) -> Column:
     return F.when(label == "", F.array().cast("array<string>")).otherwise(F.slice(F.array_distinct(fit), 1, limit))
 
 
-# where each platform's JSON has its list, its title and its own total
-_SHAPES = {
-    "greenhouse": ("$.jobs", "title", "$.meta.total"), "lever": ("$", "text", None), "ashby": ("$.jobs", "title", None), "smartrecruiters": ("$.content", "name", "$.totalFound"),
-    "workable": ("$.jobs", "title", None), "recruitee": ("$.offers", "title", None), "breezy": ("$", "name", None), "workday": ("$.jobPostings", "title", "$.total"),
+# Where each platform's JSON has its list (the first that is there), its title, its own total, and its department.
+SHAPES = {
+    "greenhouse": (("$.jobs",), "title", "$.meta.total", "departments"), "lever": (("$", "$.postings"), "text", None, "categories"), "ashby": (("$.jobs",), "title", None, "departmentName"),
+    "smartrecruiters": (("$.content",), "name", "$.totalFound", "department"), "workable": (("$.jobs", "$.results"), "title", None, "department"), "recruitee": (("$.offers",), "title", None, "department"),
+    "pinpoint": (("$.data", "$"), "title", None, "department"), "rippling": (("$", "$.items", "$.jobs", "$.results"), "name", None, "department"), "breezy": (("$",), "name", None, "department"),
+    "workday": (("$.jobPostings",), "title", "$.total", None),
 }
+_ITEM = "array<struct<id:string,uuid:string,shortcode:string,title:string,name:string,text:string,isListed:boolean,status:string,location:string,department:string,departmentName:string,departments:string,categories:string,attributes:struct<title:string,department:string,location:string>,absolute_url:string,hostedUrl:string,jobUrl:string,url:string,careers_url:string,updated_at:string,publishedAt:string,published_at:string,createdAt:string>>"
 
 
-def counts_from_json(ats: Column, body: Column) -> Column:
-    """struct(count, titles) of a board's JSON; null where the body is no such JSON. A count of 0 is an answer, null none."""
-    out = F.lit(None).cast("struct<count:int,titles:array<string>>")
-    for name, (path, title, total) in _SHAPES.items():
-        raw = F.get_json_object(body, path)
-        items = F.from_json(raw, f"array<struct<{title}:string,isListed:boolean,status:string>>")
-        live = F.filter(items, lambda x: F.coalesce(x["isListed"], F.lit(True)) & (F.coalesce(x["status"], F.lit("published")) == "published")) if name in ("ashby", "recruitee") else items
-        n = F.size(live) if total is None else F.coalesce(F.get_json_object(body, total).try_cast("int"), F.size(live))
-        titles = F.filter(live[title], lambda x: x.isNotNull() & (x != ""))
-        out = F.when((ats == name) & live.isNotNull(), F.struct(n.cast("int").alias("count"), titles.alias("titles"))).otherwise(out)
+def _label(value: Column) -> Column:
+    """The label of a department or place that is a string or an object."""
+    parts = [F.get_json_object(value, f"$.{k}") for k in ("label", "name", "team", "city")]
+    return F.when(value.startswith("{"), F.coalesce(*[F.when(p != "", p) for p in parts])).otherwise(F.when(value != "", value))
+
+
+def _department(ats: str, x: Column) -> Column:
+    if ats == "greenhouse":
+        return F.get_json_object(x["departments"], "$[0].name")
+    if ats == "lever":
+        return F.coalesce(*[_label(F.get_json_object(x["categories"], f"$.{k}")) for k in ("team", "department")])
+    if ats == "ashby":
+        return F.coalesce(_label(x["departmentName"]), _label(x["department"]))
+    if ats == "pinpoint":
+        return F.coalesce(_label(x["attributes"]["department"]), _label(x["department"]))
+    return F.lit(None).cast("string") if ats == "workday" else _label(x["department"])
+
+
+def _titled(ats: str, x: Column) -> Column:
+    if ats == "pinpoint":
+        return F.coalesce(x["attributes"]["title"], x["title"])
+    return F.coalesce(x["name"], x["title"]) if ats == "rippling" else x[SHAPES[ats][1]]
+
+
+def _items(ats: str, body: Column) -> Column:
+    """The live items of a platform's JSON; null where the body has another shape."""
+    lists = [F.from_json(F.when(F.get_json_object(body, p).startswith("["), F.get_json_object(body, p)), _ITEM) for p in SHAPES[ats][0]]
+    items = F.coalesce(*lists)
+    if ats == "ashby":
+        return F.filter(items, lambda x: F.coalesce(x["isListed"], F.lit(True)))
+    if ats == "recruitee":
+        return F.filter(items, lambda x: F.coalesce(F.when(x["status"] != "", x["status"]), F.lit("published")) == "published")
+    return items
+
+
+def _by_platform(ats: Column, make, kind: str) -> Column:
+    out = F.lit(None).cast(kind)
+    for name in SHAPES:
+        got = make(name)
+        out = F.when((ats == name) & got.isNotNull(), got).otherwise(out)
     return out
+
+
+def _count(ats: str, body: Column, items: Column) -> Column:
+    """A board's own total goes before the length of the page it sent."""
+    total = SHAPES[ats][2]
+    return F.size(items) if total is None else F.coalesce(F.get_json_object(body, total).try_cast("int"), F.size(items))
+
+
+def counts_from_json(ats: Column, body: Column) -> Column:
+    """struct(count, titles, departments) of a board's JSON; null where the body is no such JSON. A count of 0 is an answer, null none."""
+
+    def make(name: str) -> Column:
+        items = _items(name, body)
+        filled = lambda c: F.filter(c, lambda t: t.isNotNull() & (t != ""))
+        got = F.struct(_count(name, body, items).cast("int").alias("count"), filled(F.transform(items, lambda x: _titled(name, x))).alias("titles"), F.array_sort(F.array_distinct(filled(F.transform(items, lambda x: _department(name, x))))).alias("departments"))
+        return F.when(items.isNotNull(), got)
+
+    return _by_platform(ats, make, "struct<count:int,titles:array<string>,departments:array<string>>")
+
+
+POSTING = "struct<posting_id:string,title:string,location:string,department:string,url:string,published_at:string>"
+
+
+def harvest(boards: DataFrame, limit: int | None = None) -> DataFrame:
+    """(… , count, got, truncated, postings) of stored board JSON in (…, ats, body) rows; null where the body has another shape.
+
+    ``postings`` are the records of the platform in one form, an id once; ``limit`` is the feature of a bounded
+    harvest and None takes all. ``truncated`` says that the board has more than were taken for the limit.
+    """
+
+    def make(name: str) -> Column:
+        items = _items(name, F.col("body"))
+        record = lambda x: F.struct(
+            F.coalesce(x["id"], x["uuid"], x["shortcode"]).alias("posting_id"), _titled(name, x).alias("title"),
+            F.coalesce(_label(x["location"]), F.get_json_object(x["categories"], "$.location"), x["attributes"]["location"]).alias("location"), _department(name, x).alias("department"),
+            F.coalesce(x["absolute_url"], x["hostedUrl"], x["jobUrl"], x["careers_url"], x["url"]).alias("url"), F.coalesce(x["publishedAt"], x["published_at"], x["createdAt"], x["updated_at"]).alias("published_at"),
+        )
+        records = F.filter(F.transform(items, record), lambda r: r["title"].isNotNull() & (r["title"] != ""))
+        ids = F.transform(records, lambda r: F.coalesce(r["posting_id"], F.concat_ws("|", r["title"], r["location"])))
+        once = F.filter(records, lambda r, i: F.array_position(ids, F.coalesce(r["posting_id"], F.concat_ws("|", r["title"], r["location"]))) == i + 1)
+        return F.when(items.isNotNull(), F.struct(_count(name, F.col("body"), items).cast("int").alias("count"), once.alias("postings")))
+
+    out = boards.withColumn("_h", _by_platform(F.col("ats"), make, f"struct<count:int,postings:array<{POSTING}>>"))
+    taken = F.col("_h.postings") if limit is None else F.slice("_h.postings", 1, limit)
+    out = out.withColumn("count", F.col("_h.count")).withColumn("postings", taken).withColumn("got", F.size(taken))
+    cut = F.lit(False) if limit is None else (F.col("count") > F.col("got")) & (F.col("got") >= limit)
+    return out.withColumn("truncated", cut & F.col("count").isNotNull()).drop("_h")
+
+
+def first_board(answers: DataFrame, by: list[str], order: str = "pos", count: str = "count") -> DataFrame:
+    """One answer of each group: the first with a count above 0, else the first that answered at all; failures give none."""
+    rank = F.struct((F.col(count) <= 0).alias("empty"), F.col(order).alias("at"))
+    kept = answers.where(F.col(count).isNotNull())
+    rest = [c for c in answers.columns if c not in by]
+    return kept.groupBy(*by).agg(F.min_by(F.struct(*rest), rank).alias("r")).select(*by, *[F.col(f"r.{c}").alias(c) for c in rest])

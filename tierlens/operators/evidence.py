@@ -25,10 +25,35 @@ def source_trust(domain: Column, homepage_url: Column, page_url: Column, ok: Col
     )
 
 
-def tier(hygiene: Column, trust: Column, kind: Column) -> Column:
-    bad = hygiene.isin("personal_resume", "consumer_or_local", "parked_or_thin") & ~((kind == "hiring_activity") & (trust == "linked_ats_candidate")) & ~((kind == "hiring_activity") & (hygiene == "consumer_or_local") & (trust == "company_site"))
+#: Sites whose pages are no evidence for a company.
+UNFIT = ("personal_resume", "consumer_or_local", "parked_or_thin")
+# Terms of which an IT operations posting names one, and a page of a posting plugin.
+OPERATIONS = (
+    "mdm", "device management", "endpoint management", "systems administrator", "it administrator", "infrastructure engineer",
+    "identity provider", "identity providers", "okta", "azure ad", "google workspace", "corporate it", "workplace technology",
+)
+PLUGIN_PAGE = r"(?ism)\bArchives:\s*Jobs\b.{0,160}\bPost Type Description\b|^#\s+[A-Z][A-Za-z0-9&/+',.() -]{3,90}\b.{0,700}\b(?:is looking for|is seeking|seeks)\b"
+
+
+def has_board_link(text: Column) -> Column:
+    """Does the text hold the address of a page on a board's host?"""
+    return F.coalesce(text, F.lit("")).rlike(r"(?i)https?://(?:[a-z0-9-]+\.)*(?:" + "|".join(h.replace(".", r"\.") for h in fixed.BOARD_HOSTS) + ")/")
+
+
+def excluded(hygiene: Column, trust: Column, kind: Column, text: Column | None = None) -> Column:
+    """Does the site's hygiene forbid the evidence? Hiring is believed of linked boards, of local firms' own careers
+    pages, and of thin sites whose careers page links a board.
+    """
+    board = F.lit(False) if text is None else has_board_link(text)
+    spared = (kind == "hiring_activity") & (
+        (trust == "linked_ats_candidate") | ((trust == "company_site") & ((hygiene == "consumer_or_local") | ((hygiene == "parked_or_thin") & board)))
+    )
+    return hygiene.isin(*UNFIT) & ~spared
+
+
+def tier(hygiene: Column, trust: Column, kind: Column, text: Column | None = None) -> Column:
     return (
-        F.when((kind == "none") | (trust == "fetch_failed") | bad, F.lit("Rejected")).when(hygiene == "unknown", F.lit("C"))
+        F.when((kind == "none") | (trust == "fetch_failed") | excluded(hygiene, trust, kind, text), F.lit("Rejected")).when(hygiene == "unknown", F.lit("C"))
         .when(trust.isin("company_site", "linked_ats_candidate"), F.lit("A")).when(trust == "trusted_funding_outlet", F.lit("B")).otherwise(F.lit("C"))
     )
 
@@ -42,6 +67,16 @@ def status(hygiene: Column, trust: Column, kind: Column, tier_: Column) -> Colum
     )
 
 
+def reason(status_: Column) -> Column:
+    """Why a row has its status, in words."""
+    return (
+        F.when(status_ == "fetch_failed", "page fetch failed").when(status_ == "not_evidence", "no source-specific evidence terms matched")
+        .when(status_ == "excluded_hygiene", "domain hygiene gate did not look company-like")
+        .when(status_ == "review_needed", "homepage hygiene unknown; human or downstream validation required")
+        .otherwise("candidate evidence; downstream validation required")
+    )
+
+
 def typed_hits(page_type: Column, lowered: Column) -> Column:
     """array(struct(kind, found)): the evidence types that the page's type allows, with the terms found."""
     entries = []
@@ -79,14 +114,18 @@ def evidence_rows(pages: DataFrame, homes: DataFrame) -> DataFrame:
     p = p.withColumn("source_trust", source_trust(F.col("domain"), F.col("_home_url"), F.col("source_url"), F.col("ok"), F.col("linked_from_homepage"), F.col("path"), F.col("page_type")))
     p = p.withColumn("_low", F.lower(F.when(F.col("ok"), F.coalesce("text", F.lit(""))).otherwise(F.lit(""))))
     names = lambda e: F.transform(e["found"], lambda x: x["term"])
-    credible = lambda e: F.when(e["kind"] == "hiring_activity", credible_hiring(names(e), F.col("text"), F.col("source_trust"))).when(e["kind"] == "it_ops_hiring", near_job_context(F.col("_low"), names(e))).otherwise(F.lit(True))
-    p = p.withColumn("_hits", F.filter(typed_hits(F.col("page_type"), F.col("_low")), credible)).withColumn("_e", F.explode_outer("_hits"))
+    credible = lambda e: F.when(e["kind"] == "hiring_activity", credible_hiring(names(e), F.col("text"), F.col("source_trust"))).when(e["kind"] == "it_ops_hiring", F.arrays_overlap(names(e), F.array(*[F.lit(t) for t in OPERATIONS])) & near_job_context(F.col("_low"), names(e))).otherwise(F.lit(True))
+    p = p.withColumn("_hits", F.filter(typed_hits(F.col("page_type"), F.col("_low")), credible))
+    # the page of a posting plugin is a listing where no term says so
+    plugin = F.col("ok") & (F.col("page_type") == "careers") & F.coalesce(F.col("text").rlike(PLUGIN_PAGE), F.lit(False)) & ~F.exists("_hits", lambda e: e["kind"] == "hiring_activity")
+    listing = F.array(F.struct(F.lit("hiring_activity").alias("kind"), F.array(F.struct(F.lit("job listings").alias("term"), F.lit(1).alias("n"))).alias("found")))
+    p = p.withColumn("_hits", F.when(plugin, F.concat("_hits", listing)).otherwise(F.col("_hits"))).withColumn("_e", F.explode_outer("_hits"))
     p = p.withColumn("evidence_type", F.coalesce("_e.kind", F.lit("none"))).withColumn("match_count", F.coalesce(T.total(F.col("_e.found")), F.lit(0)))
     p = p.withColumn("matched_terms", F.coalesce(F.transform("_e.found", lambda x: x["term"]), F.array().cast("array<string>")))
-    p = p.withColumn("evidence_tier", tier(F.col("domain_hygiene"), F.col("source_trust"), F.col("evidence_type")))
+    p = p.withColumn("evidence_tier", tier(F.col("domain_hygiene"), F.col("source_trust"), F.col("evidence_type"), F.col("text")))
     p = p.withColumn("evidence_status", status(F.col("domain_hygiene"), F.col("source_trust"), F.col("evidence_type"), F.col("evidence_tier")))
     snip = F.when(F.col("evidence_type") == "none", F.lit("")).otherwise(T.snippet(F.col("text"), F.col("matched_terms")))
-    return p.select("domain", "source_url", "source_host", "page_type", "source_trust", "domain_hygiene", "evidence_tier", "evidence_type", "evidence_status", "match_count", "matched_terms", snip.alias("snippet"))
+    return p.select("domain", "source_url", "source_host", "page_type", "source_trust", "domain_hygiene", "evidence_tier", "evidence_type", "evidence_status", "match_count", "matched_terms", snip.alias("snippet"), reason(F.col("evidence_status")).alias("reason"))
 
 
 def page_rows(specs: DataFrame, pages: DataFrame, rubric_terms: dict[str, tuple[str, ...]]) -> DataFrame:

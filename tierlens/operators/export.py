@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ty
 
 from ..functions import text as T
+from .store import ranked
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -46,3 +47,20 @@ def summary(df: DataFrame, by: list[str]) -> DataFrame:
     """(field, value, n): group counts of several columns, of one expanded pass."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("value")) for c in by]))
     return df.select(pairs.alias("p")).groupBy("p.field", "p.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def allowed_rows(evidence: DataFrame, allowed: DataFrame, key: str = "path", escape: str = "trusted_board") -> DataFrame:
+    """Evidence of the allowed (domain, key) pairs, and of any page that holds a row with ``escape``, such as a linked board's hiring."""
+    flags = evidence.where(F.col(escape)).select("domain", key)
+    kept = allowed.select("domain", key).unionByName(flags).distinct()
+    return evidence.join(kept, ["domain", key], "left_semi")
+
+
+def in_input_order(domains: DataFrame, rows: DataFrame, pos: str = "pos") -> DataFrame:
+    """Rows with the place of their domain in the input list; sort by it when writing."""
+    return domains.select("domain", pos).join(rows, "domain", "left")
+
+
+def scan(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``rank`` of each row inside its domain in the order of a scan."""
+    return ranked(rows, ["domain"], by)

@@ -8,24 +8,32 @@ import re
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import map_arrow
 
-# Bounds of the search in one page.
+# Bounds of the search in one page; None in a call switches a bound off.
 MAX_BLOB, MAX_BLOBS, MAX_POSTINGS, MAX_NODES, MAX_DEPTH, MAX_TITLE = 8_000_000, 25, 300, 60_000, 14, 300
-# Folded keys of titles, of persons, and values that say a posting is closed.
-STRONG_TITLES = frozenset(("jobtitle", "positiontitle", "roletitle", "vacancytitle", "postingtitle"))
-PLAIN_TITLES = frozenset(("title", "name", "position", "role"))
-PERSON_KEYS = frozenset(("firstname", "lastname", "avatar", "bio", "jobtitleprefix", "twitter", "linkedin"))
-CLOSED = frozenset(("closed", "draft", "archived", "expired", "inactive", "unpublished", "filled"))
+# Folded keys of titles (in order of preference), of persons, of ids and addresses, and closed states.
+STRONG_TITLES = ("jobtitle", "positiontitle", "jobname", "roletitle", "position")
+PLAIN_TITLES = ("title", "name", "text")
+PERSON_KEYS = frozenset(("firstname", "lastname", "fullname", "avatar", "headshot", "bio", "linkedin", "linkedinurl", "twitter", "email"))
+CLOSED = frozenset(("closed", "archived", "draft", "inactive", "expired", "unpublished", "filled", "paused", "deleted"))
+ID_KEYS = ("id", "jobid", "postingid", "requisitionid", "reqid", "shortcode", "slug")
+URL_KEYS = ("absoluteurl", "hostedurl", "applyurl", "applicationurl", "url", "href")
+# What a folded key says about its object; parts of keys, and whole keys.
 _FAMILIES = (
-    ("location", r"location|city|office|country|remote"), ("department", r"department|team|division|function|category"), ("contract", r"contract|employmenttype|jobtype|worktype|schedule"),
-    ("description", r"description|responsibilit|requirement|qualification|benefit"), ("apply", r"apply|application"), ("posted", r"publish|posted|datecreated|closing|deadline"),
-    ("salary", r"salary|compensation|payrange"),
-)
-STRONG_FAMILIES = frozenset(("contract", "apply", "salary", "description"))
+    ("location", r"location|remote|^(?:city|cities|country|countries|office|offices|workplace|workplacetype)$"),
+    ("employment", r"contract|employment|commitment|schedule|^(?:jobtype|jobtypes|workmode)$"),
+    ("apply", r"apply|hostedurl|absoluteurl|applicationurl|applicationform"),
+    ("ident", r"requisition|^(?:jobid|reqid|postingid|shortcode|jobcode|jobref)$"),
+    ("org", r"department|team|^(?:category|categories|division|function|discipline|typesofwork)$"),
+    ("date", r"published|posted"),
+    ("desc", r"description|^(?:requirements|responsibilities|qualifications)$"),
+)
+FAMILIES = tuple((name, re.compile(pattern)) for name, pattern in _FAMILIES)
+STRONG_FAMILIES = frozenset(("location", "employment", "apply", "ident"))
 _BLOB = re.compile(r"<script[^>]*(?:id=[\"']__NEXT_DATA__[\"']|type=[\"']application/(?:ld\+)?json[\"'])[^>]*>(.*?)</script>", re.S | re.I)
 _ASSIGNED = re.compile(r"window\.__(?:remixContext|NUXT|INITIAL_STATE|APOLLO_STATE)__?\s*=\s*(?=[{\[])")
 
@@ -41,7 +49,7 @@ def blobs(html: str) -> Iterator[object]:
         except ValueError:
             continue
     for payload in raw[:MAX_BLOBS]:
-        mark = hashlib.sha1(payload[:4096].encode()).hexdigest()
+        mark = hashlib.sha1(payload.encode()).hexdigest()
         if mark in seen or len(payload) > MAX_BLOB:
             continue
         seen.add(mark)
@@ -80,31 +88,46 @@ def plain(value: object, depth: int = 0) -> str | None:
     return ", ".join(t for x in value if (t := plain(x, depth + 1))) or None
 
 
+def family(key: str) -> str | None:
+    """What a folded key is about; the first family that fits."""
+    return next((name for name, pattern in FAMILIES if pattern.search(key)), None)
+
+
+def _title(value: object) -> str | None:
+    """A title without tags; None for what is none: too short or long, an address, a mail address."""
+    t = " ".join(re.sub(r"<[^>]+>", " ", value).split()) if isinstance(value, str) else ""
+    unfit = not 2 < len(t) <= MAX_TITLE or re.match(r"(?i)https?://", t) or ("@" in t and " " not in t)
+    return None if unfit else t
+
+
 def posting(item: dict) -> dict | None:
-    """The posting an object describes; None where its shape is another's (navigation, articles, persons, events)."""
-    folded = {re.sub(r"[^a-z0-9]", "", k.lower()): k for k in reversed(item)}
-    if len(folded) > 80 or PERSON_KEYS & folded.keys() or any(item.get(folded[k]) is True for k in ("isevent",) if k in folded):
-        return None
-    if any(str(item.get(folded[k], "")).lower() in CLOSED for k in ("status", "state") if k in folded):
+    """The posting an object describes; None where its shape is another's (navigation, articles, persons, events).
+
+    A title key of job wording needs one strong family of keys or two of any kind; a plain title key needs a
+    strong one and two in all.
+    """
+    by_key = {re.sub(r"[^a-z0-9]", "", str(k).lower()): v for k, v in item.items()}
+    state = item.get("status") or item.get("state")
+    if not item or len(item) > 80 or PERSON_KEYS & by_key.keys() or item.get("isEvent") is True or (isinstance(state, str) and state.strip().lower() in CLOSED):
         return None
-    strong = next((k for k in folded if k in STRONG_TITLES), None)
-    key = strong or next((k for k in folded if k in PLAIN_TITLES), None)
-    title = plain(item.get(folded[key])) if key else None
-    if not title or not 3 <= len(title) <= MAX_TITLE or "://" in title or "@" in title:
+    titled = next(((k, t) for k in (*STRONG_TITLES, *PLAIN_TITLES) if (t := _title(by_key.get(k)))), None)
+    if titled is None:
         return None
-    families: dict[str, str] = {}
-    for k, original in folded.items():
-        for family, pattern in _FAMILIES:
-            if k != key and re.search(pattern, k) and plain(item[original]):
-                families.setdefault(family, original)
-                break
-    hard = STRONG_FAMILIES & families.keys()
-    if not ((hard or len(families) >= 2) if strong else (hard and len(families) >= 2)):
+    of = {k: f for k in by_key if (f := family(k))}
+    families = set(of.values())
+    strong = families & STRONG_FAMILIES
+    enough = (strong or len(families) >= 2) if titled[0] in STRONG_TITLES else (strong and len(families) >= 2)
+    if not enough:
         return None
-    value = lambda f: plain(item[families[f]]) if f in families else None
-    ident = next((str(item[folded[k]]) for k in ("id", "uuid", "jobid", "slug") if k in folded and item[folded[k]] not in (None, "")), None)
-    link = next((item[folded[k]] for k in ("url", "joburl", "applyurl", "absoluteurl", "link") if k in folded and isinstance(item[folded[k]], str)), None)
-    return {"posting_id": ident, "title": title, "location": value("location"), "department": value("department"), "description_text": value("description"), "published_at": value("posted"), "url": link}
+    first = lambda keys: next((t for k in keys if (t := plain(by_key[k]))), None)
+    about = lambda name: [k for k, f in of.items() if f == name]
+    places = about("location")
+    ident = next((str(by_key[k]).strip() for k in ID_KEYS if isinstance(by_key.get(k), (str, int)) and str(by_key[k]).strip()), None)
+    link = next((by_key[k].strip() for k in URL_KEYS if isinstance(by_key.get(k), str) and by_key[k].strip()), None)
+    return {
+        "posting_id": ident, "title": titled[1], "location": first([k for k in places if "remote" not in k]) or first(places), "department": first(about("org")),
+        "description_text": first(about("desc")), "published_at": first(about("date")), "url": link,
+    }
 
 
 def page_postings(page_url: str, html: str) -> list[dict]:
@@ -128,7 +151,7 @@ def page_postings(page_url: str, html: str) -> list[dict]:
 _FIELDS = ("posting_id", "title", "location", "department", "description_text", "published_at", "url")
 
 
-def embedded_postings(pages: DataFrame, html: str = "html", url: str = "url", limit: int = MAX_POSTINGS) -> DataFrame:
+def embedded_postings(pages: DataFrame, html: str = "html", url: str = "url", limit: int | None = MAX_POSTINGS) -> DataFrame:
     """(domain, page_url, count, pos and the posting's fields) of pages with embedded JSON.
 
     ``count`` is the true number where a page has more than ``limit``. Null and broken pages give no row.
@@ -155,3 +178,10 @@ def postings_block(title_count: int, titles: list[str], most: int = 60) -> str:
     """The block that stands for mined postings in a page's text."""
     rest = f"\n(+{title_count - most} more)" if title_count > most else ""
     return f"Structured job postings ({title_count} open roles):\n" + "\n".join(f"- {t}" for t in titles[:most]) + rest
+
+
+def block(count: Column, titles: Column, most: int = 60) -> Column:
+    """The same block as a column expression."""
+    rest = F.when(count > most, F.concat(F.lit("\n(+"), (count - most).cast("string"), F.lit(" more)"))).otherwise(F.lit(""))
+    lines = F.array_join(F.transform(F.slice(titles, 1, most), lambda t: F.concat(F.lit("- "), t)), "\n")
+    return F.concat(F.lit("Structured job postings ("), count.cast("string"), F.lit(" open roles):\n"), lines, rest)

@@ -80,3 +80,40 @@ def unresolved(domains: DataFrame, pages: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     good = (F.col("page_type") == "careers") & F.col("ok") & ((U.under(U.host(F.col("url")), fixed.BOARD_HOSTS) & (F.trim(text) != "")) | text.rlike(fixed.STRONG_CAREERS))
     return domains.select("domain").distinct().join(pages.where(good).select("domain").distinct(), "domain", "left_anti")
+
+
+def with_guesses(targets: DataFrame) -> DataFrame:
+    """The targets, and ``careers.<domain>`` for every domain that has a careers target; after all others in order."""
+    guess = targets.where(F.col("page_type") == "careers").groupBy("domain").agg(F.max("pos").alias("pos"))
+    url = F.concat(F.lit("https://careers."), F.col("domain"))
+    return targets.unionByName(guess.select("domain", url.alias("path"), F.lit("careers").alias("page_type"), (F.col("pos") + 1).alias("pos"), F.lit(False).alias("linked_from_homepage")), allowMissingColumns=True)
+
+
+def candidates_only(pages: DataFrame) -> DataFrame:
+    """Stored careers candidates that the home page links or that lie on a board: those worth a late fetch."""
+    linked = F.coalesce("linked_from_homepage", F.lit(False))
+    board = U.under(U.host(F.coalesce("url", "path")), fixed.BOARD_HOSTS)
+    return pages.where((F.col("tier") == "candidate") & (F.col("page_type") == "careers") & (linked | board))
+
+
+def without_careers(domains: DataFrame, pages: DataFrame) -> DataFrame:
+    """Domains without any stored careers page that is ok: the ones whose boards and indexes are looked up."""
+    known = pages.where(F.col("ok") & ((F.col("page_type") == "careers") | U.under(U.host(F.coalesce("url", "path")), fixed.BOARD_HOSTS)))
+    return domains.select("domain").distinct().join(known.select("domain").distinct(), "domain", "left_anti")
+
+
+def follow_up(unresolved_: DataFrame, candidates: DataFrame, budget: int = 3) -> DataFrame:
+    """At most ``budget`` careers candidates of each unresolved domain, by the order of the balanced selection."""
+    wanted = candidates.where(F.col("page_type") == "careers").join(unresolved_.select("domain").distinct(), "domain", "left_semi")
+    return balanced(wanted, budget, {"careers": budget}, ["careers"])
+
+
+def scoring_input(domains: DataFrame, pages: DataFrame) -> DataFrame:
+    """Every domain in its order with the text of its page, empty where there is none."""
+    return domains.join(pages.select("domain", "text"), "domain", "left").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+def to_judge(domains: DataFrame, verdicts: DataFrame, rubric: str) -> DataFrame:
+    """Domains without a verdict of this rubric, or with a failed fetch for one."""
+    done = verdicts.where((F.col("rubric") == rubric) & (F.col("method") != "fetch_failed"))
+    return domains.select("domain").distinct().join(done.select("domain").distinct(), "domain", "left_anti")

@@ -134,9 +134,7 @@ def todo_fetch(spark, d):
 
 
 def todo_judge(spark, d):
-    doms = _t(spark, d, "pages").select("domain").distinct()
-    done = _t(spark, d, "verdicts").where("method <> 'fetch_failed'").select("domain").distinct()
-    return doms.join(done, "domain", "left_anti")
+    return select.to_judge(_t(spark, d, "pages"), _t(spark, d, "verdicts"), "hiring_signal")
 
 
 def _homes(spark, d):
@@ -376,7 +374,7 @@ def oracles() -> dict[str, str]:
         "verdicts_pending": f"WITH v AS ({_LAST_VERDICTS}), d AS ({doms}), r AS (SELECT DISTINCT rubric FROM v) SELECT d.domain, r.rubric, coalesce(v.label, 'pending') AS label, coalesce(v.method, 'none') AS method FROM d CROSS JOIN r LEFT JOIN v ON v.domain = d.domain AND v.rubric = r.rubric",
         "verdict_summary": f"SELECT rubric, label, method, count(*) AS n FROM ({_LAST_VERDICTS}) GROUP BY 1, 2, 3",
         "todo_fetch": f"SELECT domain FROM ({doms}) WHERE domain NOT IN (SELECT domain FROM pages WHERE ok AND domain IS NOT NULL)",
-        "todo_judge": "SELECT DISTINCT domain FROM pages WHERE domain NOT IN (SELECT domain FROM verdicts WHERE method <> 'fetch_failed' AND domain IS NOT NULL)",
+        "todo_judge": "SELECT DISTINCT domain FROM pages WHERE domain NOT IN (SELECT domain FROM verdicts WHERE rubric = 'hiring_signal' AND method <> 'fetch_failed' AND domain IS NOT NULL)",
         "rubric_verdicts": f"SELECT domain, '{SITE.name}' AS rubric, CASE WHEN e THEN 'unreachable' ELSE label END AS label, CASE WHEN e THEN 0.0 ELSE confidence END AS confidence, CASE WHEN e THEN 'fetch_failed' ELSE 'keyword' END AS method, CASE WHEN e THEN 'no content after cascade' ELSE 'pos=' || pos_hits || ' neg=' || neg_hits END AS reason FROM ({_score_sql(_LAST_PAGES, 'domain', SITE, "coalesce(text, '') = '' AS e,")})",
         "rubric_scores": f"SELECT doc_id, label, confidence, pos_hits, neg_hits FROM ({_score_sql('SELECT * FROM documents', 'doc_id', SITE)})",
         "rubric_terms": f"WITH d AS (SELECT *, {_WORDS} AS w FROM documents) SELECT side, term, CAST(sum(n) AS BIGINT) AS hits, count(*) AS docs FROM ({terms}) WHERE n > 0 GROUP BY 1, 2",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,23 +26,37 @@ def read_store(spark: SparkSession, store: str) -> DataFrame | None:
     return spark.read.parquet(f"{store}/v{v[-1]}") if v else None
 
 
-def write_batch(store: str, keys: list[str], version: str):
-    """A ``foreachBatch`` function that merges each batch into the store; a batch repeated after a crash changes nothing."""
+def _path(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_batch(store: str, keys: list[str], version: str, stream: str = "", keep: int = 2):
+    """A ``foreachBatch`` function that merges each batch into the store.
+
+    A batch is known by its stream and number: one repeated after a crash changes nothing, and the first batch of
+    another stream into the same store is no repetition. The last ``keep`` versions stay for readers.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        old = read_store(spark, store)
-        if batch_id + 1 in _versions(spark, store):
+        mark, fs = _path(spark, f"{store}/_batches/{hashlib.sha1(stream.encode()).hexdigest()[:16]}-{batch_id}")
+        if fs.exists(mark):
             return
+        known = _versions(spark, store)
+        old = read_store(spark, store)
         merged = upsert(batch.limit(0) if old is None else old, batch, keys, version)
-        merged.write.mode("overwrite").parquet(f"{store}/v{batch_id + 1}")
+        merged.write.mode("overwrite").parquet(f"{store}/v{known[-1] + 1 if known else 1}")
+        fs.create(mark, True).close()
+        for n in known[: max(0, len(known) + 1 - keep)]:
+            fs.delete(_path(spark, f"{store}/v{n}")[0], True)
 
     return write
 
 
 def run_available(stream: DataFrame, store: str, checkpoint: str, keys: list[str], version: str) -> None:
     """Consume what the stream has now and stop."""
-    q = stream.writeStream.foreachBatch(write_batch(store, keys, version)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q = stream.writeStream.foreachBatch(write_batch(store, keys, version, checkpoint)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 
