@@ -397,3 +397,54 @@ def test_passages_and_rows(spark):
     assert {(r.row_id, r.lang) for r in language.row_languages(df, m).where("row_id < 3").collect()} <= {(1, "en"), (1, "de"), (2, "en"), (2, "de")}
     label = lambda x: spark.createDataFrame([(x,)], "v string").select(language.named_language(F.col("v"))).first()[0]
     assert [label(x) for x in ("DE", "deu", "de_AT", "und", " ", None, "unknown", "nl-BE")] == ["de", "de", "de", None, None, None, None, "nl"]
+
+
+def test_tested_lines_and_rates(spark):
+    """A line that every source repeats alike is no excess against the outside, though it is repeated within."""
+    word = lambda n: "".join(chr(97 + int(d)) for d in str(n))
+    data = [(s * 100 + i, f"s{s}.test", f"everywhere alike\nonly of s {word(s)}\nown {word(s * 100 + i)}", None) for s in range(6) for i in range(10)]
+    got = lines.scored_lines(_line_table(spark, data), "dpage_id", "domain").collect()
+    assert len(got) == 12 and all(r.accepted and r.q <= 0.01 for r in got)
+    assert sum(r.site_specific for r in got) == 6 and all(r.q_line == 1.0 for r in got if not r.site_specific)
+    assert lines.scored_lines(_line_table(spark, []), "dpage_id", "domain").count() == 0
+    assert lines.adjusted([(400, 5), (0, 1000)]) == [(0, 1.0), (400, pytest.approx(0.0, abs=1e-9))]
+
+
+def test_look_alike_table():
+    for a, b in (("‑", "-"), ("𝐚", "a"), ("ⅼ", "l"), ("ɑ", "a"), ("օ", "o"), ("Ꭺ", "A")):
+        assert charforms.skeleton(a) == charforms.skeleton(b)
+    assert len({charforms.skeleton(x) for x in ("ı", "i", "1", "l")}) == 4
+
+
+def test_classes(spark):
+    df = spark.createDataFrame([(1, "one"), (2, "оne"), (3, "one"), (4, "two"), (5, None), (6, " "), (None, "one")], "doc_id long, text string")
+    got = {r.doc_id: (r.class_key, r.spellings, r.documents) for r in charforms.look_alike_classes(df).collect()}
+    assert set(got) == {1, 2, 3, 4} and got[1] == got[2] == got[3] and got[1][1:] == (2, 3) and got[4][1:] == (1, 1)
+
+
+def test_mixture_weights(spark, monkeypatch):
+    """A queue that runs out leaves its share to the others, and one without a weight comes last: no window is thin."""
+    monkeypatch.setattr(packing, "WINDOW_TOKENS", 1000)
+    monkeypatch.setattr(packing, "WINDOW_CONTAINERS", 4)
+    rng = random.Random(4)
+    items = [(i, "abc"[i % 3], rng.randint(5, 60)) for i in range(900)]
+    sizes = spark.createDataFrame(items, "item long, queue string, n_tokens long")
+    limits = spark.createDataFrame([("s", 200)], "container_kind string, capacity_tokens long")
+    weights = spark.createDataFrame([("a", 10.0), ("b", 1.0)], "queue string, weight double")
+    got = packing.pack(sizes, limits, weights=weights).collect()
+    queue, size = {i: q for i, q, _ in items}, defaultdict(lambda: defaultdict(int))
+    use = defaultdict(int)
+    for r in got:
+        size[int(r.container_id.split("-")[0])][queue[r.item]] += r.n_tokens
+        use[r.container_id] += r.n_tokens
+    total = sum(n for *_, n in items)
+    assert sum(use.values()) == total and sum(use.values()) / (200 * len(use)) > 0.9
+    assert all(900 <= sum(size[w].values()) <= 1100 for w in range(max(size) - 1))
+    assert abs(size[0]["a"] / sum(size[0].values()) - 10 / 11) < 0.1 and size[0]["c"] == 0 and size[max(size)]["c"] > 0
+
+
+def test_short_sentences_do_not_slow_the_search(spark):
+    items = [(1, "Do it.\n\nYes. At dawn Orpica drove from Labera to Banapa with samples. The board voted against hiring Reva again.\n\nQ?")]
+    index = leakage.SentenceIndex(items)
+    assert index.engine.m >= leakage.SHORT and len(index.searches) == 2
+    assert index.found("yes! at dawn orpica drove from labera to banapa with samples") == {1: 2}

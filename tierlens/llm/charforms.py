@@ -15,7 +15,7 @@ import unicodedata
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import map_arrow
+from ..runtime import map_arrow, stored, weighted_join
 
 # Letters of Cyrillic and Greek that look like a Latin one, and the Latin letter.
 LOOKALIKES = {
@@ -24,6 +24,11 @@ LOOKALIKES = {
     "α": "a", "ϲ": "c", "ι": "i", "ϳ": "j", "ο": "o", "ρ": "p", "ν": "v", "υ": "u", "γ": "y", "ϱ": "p",
     "Α": "A", "Β": "B", "Ϲ": "C", "Ε": "E", "Η": "H", "Ι": "I", "Ϳ": "J", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ζ": "Z",
 }
+# The same of Armenian, Cherokee and phonetic letters, and hyphens.
+LOOKALIKES |= {
+    "օ": "o", "ս": "u", "ո": "n", "ց": "g", "հ": "h", "զ": "q", "ɑ": "a", "ɡ": "g", "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    "‐": "-", "‑": "-",
+}
 # signs without ink that are no format characters by category: combining grapheme joiner, fillers, variation selectors
 _INVISIBLE_EXTRA = "".join(map(chr, [0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, *range(0x180B, 0x180F), 0x3164, *range(0xFE00, 0xFE10), 0xFFA0]))
 _ZWJ, _KEEP = chr(0x200D), chr(0xE000)
@@ -40,7 +45,7 @@ def _prototype(ch: str) -> str | None:
         return ""
     d = unicodedata.decomposition(ch)
     tag, _, rest = d.partition(" ")
-    if tag in ("<wide>", "<narrow>") or (tag == "<compat>" and (0xFB00 <= ord(ch) <= 0xFB4F or ch in "ĲĳǄǅǆǇǈǉǊǋǌŉ")):
+    if tag in ("<wide>", "<narrow>", "<font>") or (tag == "<compat>" and 0x2160 <= ord(ch) <= 0x217F) or (tag == "<compat>" and (0xFB00 <= ord(ch) <= 0xFB4F or ch in "ĲĳǄǅǆǇǈǉǊǋǌŉ")):
         return "".join(chr(int(x, 16)) for x in rest.split())
     return None
 
@@ -166,7 +171,7 @@ def look_alike_pairs(df: DataFrame, doc: str = "doc_id", text: str = "text") ->
     hot group of exact copies is never paired with itself. Null ids and null or blank texts take no part;
     an id given twice with one text counts once.
     """
-    h = skeleton_hashes(df, doc, text).where(F.col("doc").isNotNull()).distinct()
+    h = stored(skeleton_hashes(df, doc, text).where(F.col("doc").isNotNull()).distinct())
     mixed = h.groupBy("sk1", "sk2").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where("lo <> hi").select("sk1", "sk2")
     own = h.join(mixed, ["sk1", "sk2"], "left_semi")
     spelled = own.select("sk1", "sk2", "th").distinct()
@@ -178,6 +183,20 @@ def look_alike_pairs(df: DataFrame, doc: str = "doc_id", text: str = "text") ->
     return pairs.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")).distinct()
 
 
+def look_alike_classes(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, class_key, spellings, documents): each document once with the class of texts that look like it.
+
+    ``class_key`` is the 128-bit hash of the skeleton; a class has as many spellings as there are texts in it that
+    differ in their characters. Two documents look the same if their classes are equal, so that a hot class needs
+    no pairs. Null ids and null or blank texts take no part.
+    """
+    h = stored(skeleton_hashes(df, doc, text).where(F.col("doc").isNotNull()).distinct())
+    spelled = h.groupBy("sk1", "sk2", "th").agg(F.count(F.lit(1)).alias("n"))
+    classes = stored(spelled.groupBy("sk1", "sk2").agg(F.count(F.lit(1)).alias("spellings"), F.sum("n").alias("documents")))
+    key = F.concat(F.hex("sk1"), F.lit("-"), F.hex("sk2"))
+    return weighted_join(h, classes, ["sk1", "sk2"], "documents", "doc", "inner").select(F.col("doc").alias("doc_id"), key.alias("class_key"), "spellings", "documents")
+
+
 def _forms(batches):
     import pyarrow as pa
 

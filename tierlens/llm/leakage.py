@@ -23,6 +23,8 @@ from .charforms import match_key
 #: One word in so many may be replaced.
 REPLACED = 8
 MIN_SENTENCES = 2
+#: Pieces of fewer words than this have a search of their own.
+SHORT = 3
 #: Characters of test texts held by one search; larger test sets are searched in blocks of this size.
 BLOCK_CHARS = 4_000_000
 
@@ -57,13 +59,13 @@ class _Codes(dict):
 
 
 class WuManber:
-    """Multi-pattern search over word sequences. ``patterns`` are tuples of words."""
+    """Multi-pattern search over word sequences. ``patterns`` are tuples of words; ``vocabulary`` may be shared by several searches."""
 
-    def __init__(self, patterns: list[tuple[str, ...]]):
+    def __init__(self, patterns: list[tuple[str, ...]], vocabulary: dict[str, int] | None = None):
         self.patterns = patterns
         self.m = m = min(map(len, patterns), default=1)
         self.b = b = min(2, m)
-        self.vocabulary: dict[str, int] = {}
+        self.vocabulary: dict[str, int] = {} if vocabulary is None else vocabulary
         coded = [tuple(self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in p) for p in patterns]
         self.default = m - b + 1
         self.shift: dict[int, int] = {}
@@ -124,21 +126,28 @@ class SentenceIndex:
             cuts = [len(w) * i // parts for i in range(parts + 1)]
             for a, z in zip(cuts, cuts[1:]):
                 pieces[w[a:z]].append((k, a))
-        self.places = list(pieces.values())
-        self.engine = WuManber(list(pieces))
+        vocabulary: dict[str, int] = {}
+        for piece in pieces:
+            for w in piece:
+                vocabulary.setdefault(w, len(vocabulary) + 1)
+        # short pieces are searched by themselves, so that they do not shorten the shifts of the others
+        short, long = [p for p in pieces if len(p) < SHORT], [p for p in pieces if len(p) >= SHORT]
+        self.engine = WuManber(long, vocabulary)
+        self.searches = [(WuManber(ps, vocabulary), [pieces[p] for p in ps]) for ps in (long, short) if ps]
         self.coded = [[self.engine.vocabulary[x] for x in w] for w in self.sentences]
 
     def found(self, text: str) -> dict[int, int]:
         """Item id to the number of its sentences that the text holds."""
         codes = self.engine.encode(text)
         seen: set[int] = set()
-        for i, start in self.engine.search(codes):
-            for k, offset in self.places[i]:
-                if k in seen:
-                    continue
-                w, at = self.coded[k], start - offset
-                if at >= 0 and at + len(w) <= len(codes) and sum(x != y for x, y in zip(w, codes[at : at + len(w)])) <= len(w) // REPLACED:
-                    seen.add(k)
+        for engine, places in self.searches:
+            for i, start in engine.search(codes):
+                for k, offset in places[i]:
+                    if k in seen:
+                        continue
+                    w, at = self.coded[k], start - offset
+                    if at >= 0 and at + len(w) <= len(codes) and sum(x != y for x, y in zip(w, codes[at : at + len(w)])) <= len(w) // REPLACED:
+                        seen.add(k)
         counts: dict[int, int] = defaultdict(int)
         for k in seen:
             for item in self.items_of[k]:
@@ -169,12 +178,13 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: s
     pairs = docs.where(F.col(doc).isNotNull() & (F.length(text) > 0)).select(F.col(doc).cast("long").alias("doc"), F.col(text).alias("text"))
     out = None
     for block in _blocks(items, item, item_text, block_chars):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        # built once; its size goes with the block's characters, which are bounded
+        shared = docs.sparkSession.sparkContext.broadcast(SentenceIndex(block))
 
         def search(batches, shared=shared):
             import pyarrow as pa
 
-            index = SentenceIndex(shared.value)
+            index = shared.value
             for b in batches:
                 rows = [(d, i, n) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for i, n in index.found(t).items() if n >= min_sentences]
                 yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["doc_id", "item_id", "n_sentences"])

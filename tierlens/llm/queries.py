@@ -22,6 +22,13 @@ def p1_clean(spark: SparkSession, folder: str) -> DataFrame:
     return lines.without_repeated_lines(table(spark, folder, "discovered_pages"), "dpage_id", "domain")
 
 
+def p1_tested(spark: SparkSession, folder: str) -> DataFrame:
+    """How many lines of at least MIN_DOCS documents each contrast tests and accepts at the false-discovery rate."""
+    scored = lines.scored_lines(table(spark, folder, "discovered_pages"), "dpage_id", "domain")
+    each = F.array(F.struct(F.lit("excess").alias("contrast"), F.col("accepted").alias("a")), F.struct(F.lit("outside").alias("contrast"), F.col("site_specific").alias("a")))
+    return scored.select(F.explode(each).alias("e")).groupBy("e.contrast").agg(F.count(F.lit(1)).alias("tested"), F.count_if(F.col("e.a")).alias("accepted"))
+
+
 def _rows(spark: SparkSession, folder: str) -> DataFrame:
     return residue.site_rows(table(spark, folder, "pages"), table(spark, folder, "discovered_pages"))
 
@@ -83,12 +90,16 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return charforms.look_alike_pairs(table(spark, folder, "documents"))
 
 
+def p8_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return charforms.look_alike_classes(table(spark, folder, "documents"))
+
+
 def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return charforms.consistent_forms(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_clean, p2_found, p2_languages, p2_passages, p3_found, p3_reasons, p4_found, p4_bodies, p5_found, p5_restored, p6_pack, p7_found, p8_found, p8_forms)}
+    return {f.__name__: f for f in (p1_found, p1_clean, p1_tested, p2_found, p2_languages, p2_passages, p3_found, p3_reasons, p4_found, p4_bodies, p5_found, p5_restored, p6_pack, p7_found, p8_found, p8_classes, p8_forms)}
 
 
 _P1 = r"""
@@ -104,4 +115,12 @@ r AS (SELECT domain, k FROM l WHERE k <> '' GROUP BY domain, k HAVING count(DIST
 def oracles() -> dict[str, str]:
     return {
         "p1_found": _P1 + "SELECT DISTINCT dpage_id, line_no FROM l JOIN r USING (domain, k)",
+        "p1_clean": _P1 + """, g AS (SELECT DISTINCT dpage_id, line_no FROM l JOIN r USING (domain, k)),
+d AS (SELECT DISTINCT dpage_id, text FROM discovered_pages WHERE dpage_id IS NOT NULL),
+a AS (SELECT dpage_id, CAST(i - 1 AS INTEGER) AS line_no, string_split(text, chr(10))[i] AS line
+      FROM (SELECT *, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM d WHERE text IS NOT NULL)),
+k AS (SELECT dpage_id, string_agg(line, chr(10) ORDER BY line_no) AS kept FROM a ANTI JOIN g USING (dpage_id, line_no) GROUP BY 1),
+n AS (SELECT dpage_id, count(*) AS n_removed FROM g GROUP BY 1)
+SELECT d.dpage_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept, '') END AS text, coalesce(n_removed, 0) AS n_removed
+FROM d LEFT JOIN k USING (dpage_id) LEFT JOIN n USING (dpage_id)""",
     }
