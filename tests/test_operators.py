@@ -104,7 +104,7 @@ def test_board_counts_and_guesses(spark):
     assert tuple(got) == (7, ["A"], [])
     assert tuple(one(boards.counts_from_json(F.lit("greenhouse"), F.lit('{"jobs":[]}')))) == (0, [], [])
     assert one(boards.counts_from_json(F.lit("greenhouse"), F.lit("nothing"))) is None
-    assert tuple(one(boards.counts_from_json(F.lit("ashby"), F.lit('{"jobs":[{"title":"A","isListed":false},{"title":"B"}]}')))) == (1, ["B"])
+    assert tuple(one(boards.counts_from_json(F.lit("ashby"), F.lit('{"jobs":[{"title":"A","isListed":false},{"title":"B"}]}')))) == (1, ["B"], [])
     assert one(boards.slug_guesses(F.lit("www.goshippo.com"))) == ["goshippo", "Goshippo", "shippo", "Shippo", "goshippoinc", "Goshippoinc"]
     assert one(boards.slug_guesses(F.lit("work.com")))[0] == "work" and one(boards.slug_guesses(F.lit(None).cast("string"))) == []
     assert one(boards.board_url(F.lit("rippling"), F.lit("n"))) == "https://ats.rippling.com/n/jobs"
