@@ -16,6 +16,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from ..runtime import BROADCAST_ROWS, lookup_join, map_arrow, stored, weighted_join
 
@@ -101,7 +102,7 @@ def form_and_letters(part: str) -> tuple[str, str]:
     words = _WORD.findall(part)
     slots = [_slots[w] for w in words]
     key = "".join(words if "0" not in slots else [w for w, x in zip(words, slots) if x != "0"]).lower()
-    if part.upper() == part:
+    if part.isupper():
         return (key and "=" + key), key
     form = f" {' '.join(slots)} "
     while " N N " in form:
@@ -132,9 +133,7 @@ def is_filler(line: str) -> bool:
 
 
 def h64(s: str) -> int:
-    import xxhash
-
-    return xxhash.xxh3_64_intdigest(s) - (1 << 63)
+    return xxh3_64_intdigest(s) - 0x8000000000000000
 
 
 def _is_entry(line: str) -> bool:

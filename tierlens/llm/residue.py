@@ -56,7 +56,7 @@ _WEAK = (
 _WORDS = (r"\bundefined\b", r"\bNaN\b", r"\b(?:TODO|FIXME|TBD)\b")
 _MARK = re.compile("|".join((*(f"(?P<s{i}>{p})".replace(r"\1", f"(?P=sign{i})").replace("([$%@#]{1,2})", f"(?P<sign{i}>[$%@#]{{1,2}})") for i, p in enumerate(_STRONG)), f"(?P<weak>{'|'.join(_WEAK)})", f"(?P<word>{'|'.join(_WORDS)})")))
 #: What every mark has one of.
-_SIGNS = ("{", "[", "<", "$", "%", "_", " ,", "@@", " @", "\n@", "|*", "##", " :a", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD", *(f" :{c}" for c in "bcdefghijklmnopqrstuvwxyz"), *(w.upper() for w in FIELDS.split() if len(w) > 3))
+_SIGNS = ("{", "[", "<", "$", "%", "_", " ,", "@@", " @", "\n@", "|*", "##", " :a", "undefined", "NaN", "XXXX", "TODO", "FIXME", "TBD", *(f" :{c}" for c in "bcdefghijklmnopqrstuvwxyz"), *(f"{a}{sep}{b}".upper() for a in FIELDS.split() for b in FIELDS.split() for sep in ("", "_", "-")))
 _QUOTES = frozenset("\"'“”„‘’«»‹›`")
 #: Stands in a mark's place: written large it is a name, written small a word of the unit.
 _NAME, _PLAIN = "Qzqz", "qzqz"
