@@ -67,6 +67,14 @@ def test_joins_that_split_keys(spark, how):
     assert rows(runtime.weighted_join(big, small.limit(0), ["k"], "n", "i", "left_anti")) == rows(big)
 
 
+def test_large_lookups_do_not_go_through_the_driver(spark):
+    """A table whose broadcast would take tens of MB of the driver is joined by shuffle, with the same rows."""
+    small, big = runtime.stored(spark.range(150_000).withColumn("v", F.col("id") * 2)), spark.range(10, 200_000, 20_000)
+    got = runtime.lookup_join(big, small, ["id"], "id", "inner")
+    assert "ResolvedHint" not in (plan := got._jdf.queryExecution().analyzed().toString()) and "broadcast" not in plan
+    assert rows(got) == rows(big.where("id < 150000").withColumn("v", F.col("id") * 2))
+
+
 def test_stored_tables_are_discarded(spark):
     df = runtime.stored(spark.range(5).toDF("n"))
     assert df.count() == 5 and runtime.discard_stored() >= 1
