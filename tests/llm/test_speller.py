@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 
 from tierlens.llm import encoding
@@ -45,3 +46,38 @@ def test_garbled_words_are_those_some_pair_makes():
     assert len(table) > 100 and all(map(told.garbled, table))
     sound = ("dzięki", "Żółty", "ПРИВЕТ", "señor", "ascii", "größe")
     assert [w for w in sound if told.garbled(w)] == [w for w in sound if w in table] == []
+
+
+def test_the_driver_never_has_the_words(spark):
+    """What the tasks get is as small for 20,000 words as for none; blocks of a few places hold them all."""
+    words = {f"é{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}": i for i in range(17_576)}
+    df = spark.createDataFrame([("pages", i, " ".join(words)) for i in range(3)], "src string, row_id long, text string")
+    told = encoding.speller_of(df)
+    assert len(pickle.dumps(told)) < 1_000
+    again = pickle.loads(pickle.dumps(told))
+    assert len(again.words) == len(words) and all(w in again.words for w in words) and not any(w in again.words for w in ("éabcd", "abc", "", "żaba"))
+
+
+def test_blocks_hold_every_word(spark, monkeypatch):
+    monkeypatch.setattr(encoding.WordTable, "places", 1 << 10)
+    words = [f"ö{i}" for i in range(5_000)]
+    df = spark.createDataFrame([(w, encoding._word_hash(w) - (1 << 64) * (encoding._word_hash(w) >> 63)) for w in words], "word string, h long")
+    table = encoding.WordTable.of(df)
+    assert table.mask + 1 > table.places and table == frozenset(words) and not any(f"ä{i}" in table for i in range(500))
+
+
+def test_commoner_words_are_found_as_word_by_word():
+    """Against every pair applied to every word."""
+    sound = ("dzięki", "żółty", "привет", "мир", "straße", "niño", "ünïcode", "été", "œuf", "𝒳é")
+    seen = {w: 50 + i for i, w in enumerate(sound)}
+    for table in encoding._swap_tables().values():
+        back = {ord(now): chr(was) for was, now in table.items()}
+        for n, w in enumerate(sound):
+            seen.setdefault(w.translate(back).lower(), (3, 25, 26, 60)[n % 4])
+    want = {
+        w for w, n in seen.items()
+        if any((x := w.translate(t)) != w and seen.get(x, 0) > 2 * n and all(c < "\x80" or ord(c) in t or c in encoding.repertoire() for c in w) for t in encoding._swap_tables().values())
+    }
+    assert encoding._garbled_commoner(seen) == want and 20 < len(want) < len(seen)
+    skeleton = lambda w: "".join(c if c < "\x80" else "?" for c in w)
+    assert all(skeleton(w.translate(t)) == skeleton(w) for w in seen for t in encoding._swap_tables().values())
