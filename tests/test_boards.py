@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tierlens import runtime
+from tierlens import runtime, site_queries
 from tierlens.operators import boards, evidence, postings
 
 
@@ -78,3 +81,19 @@ def test_large_lookups_do_not_go_through_the_driver(spark):
 def test_stored_tables_are_discarded(spark):
     df = runtime.stored(spark.range(5).toDF("n"))
     assert df.count() == 5 and runtime.discard_stored() >= 1
+
+
+def test_a_large_board_is_harvested_in_step_with_its_postings(spark):
+    """The first posting of each id, in the order sent; a parse of the whole body for each posting took minutes for this board."""
+    items = [{"id": f"j{i % 1500}", "title": f"T{i}"} for i in range(3000)]
+    df = spark.createDataFrame([("greenhouse", json.dumps({"jobs": items})), ("ashby", json.dumps({"jobs": items[::-1]}))], "ats string, body string")
+    began = time.time()
+    got = {r.ats: (r["count"], [(p.posting_id, p.title) for p in r.postings]) for r in boards.harvest(df).collect()}
+    assert time.time() - began < 40
+    want = [(f"j{i}", f"T{i}") for i in range(1500)]
+    assert got == {"greenhouse": (3000, want), "ashby": (3000, [(f"j{i - 1500}", f"T{i}") for i in range(2999, 1499, -1)])}
+
+
+def test_stored_postings_are_read_once_for_all_platforms(spark):
+    plan = site_queries.harvest_envelopes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan and "RepartitionByExpression" in plan

@@ -102,9 +102,14 @@ def _titled(ats: str, x: Column) -> Column:
     return F.coalesce(x["name"], x["title"]) if ats == "rippling" else x[SHAPES[ats][1]]
 
 
+def _once(value: Column, make) -> Column:
+    """``make(value)`` with the value computed one time: inside a lambda an expression is computed again for each element that names it."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def _items(ats: str, body: Column) -> Column:
     """The live items of a platform's JSON; null where the body has another shape."""
-    lists = [F.from_json(F.when(F.get_json_object(body, p).startswith("["), F.get_json_object(body, p)), _ITEM) for p in SHAPES[ats][0]]
+    lists = [F.from_json(_once(F.get_json_object(body, p), lambda j: F.when(j.startswith("["), j)), _ITEM) for p in SHAPES[ats][0]]
     items = F.coalesce(*lists)
     if ats == "ashby":
         return F.filter(items, lambda x: F.coalesce(x["isListed"], F.lit(True)))
@@ -116,8 +121,7 @@ def _items(ats: str, body: Column) -> Column:
 def _by_platform(ats: Column, make, kind: str) -> Column:
     out = F.lit(None).cast(kind)
     for name in SHAPES:
-        got = make(name)
-        out = F.when((ats == name) & got.isNotNull(), got).otherwise(out)
+        out = F.when(ats == name, make(name)).otherwise(out)
     return out
 
 
@@ -130,15 +134,22 @@ def _count(ats: str, body: Column, items: Column) -> Column:
 def counts_from_json(ats: Column, body: Column) -> Column:
     """struct(count, titles, departments) of a board's JSON; null where the body is no such JSON. A count of 0 is an answer, null none."""
 
-    def make(name: str) -> Column:
-        items = _items(name, body)
+    def told(name: str, items: Column) -> Column:
         filled = lambda c: F.filter(c, lambda t: t.isNotNull() & (t != ""))
         got = F.struct(_count(name, body, items).cast("int").alias("count"), filled(F.transform(items, lambda x: _titled(name, x))).alias("titles"), F.array_sort(F.array_distinct(filled(F.transform(items, lambda x: _department(name, x))))).alias("departments"))
         return F.when(items.isNotNull(), got)
 
+    make = lambda name: _once(_items(name, body), lambda items: told(name, items))
     return _by_platform(ats, make, "struct<count:int,titles:array<string>,departments:array<string>>")
 
 
+def _first_of_each(records: Column, key) -> Column:
+    """The records whose key no earlier one has, in their order. The keys are sorted, so that a board of any length takes n log n steps."""
+    keyed = F.sort_array(F.transform(records, lambda r, i: F.struct(key(r).alias("key"), i.alias("at"))))
+    first = _once(keyed, lambda s: F.filter(s, lambda e, i: (i == 0) | (F.get(s, i - 1)["key"] != e["key"])))
+    return F.transform(F.sort_array(F.transform(first, lambda e: e["at"])), lambda at: F.get(records, at))
+
+
 POSTING = "struct<posting_id:string,title:string,location:string,department:string,url:string,published_at:string>"
 
 
@@ -149,18 +160,17 @@ def harvest(boards: DataFrame, limit: int | None = None) -> DataFrame:
     harvest and None takes all. ``truncated`` says that the board has more than were taken for the limit.
     """
 
-    def make(name: str) -> Column:
-        items = _items(name, F.col("body"))
+    def told(name: str, items: Column) -> Column:
         record = lambda x: F.struct(
             F.coalesce(x["id"], x["uuid"], x["shortcode"]).alias("posting_id"), _titled(name, x).alias("title"),
             F.coalesce(_label(x["location"]), F.get_json_object(x["categories"], "$.location"), x["attributes"]["location"]).alias("location"), _department(name, x).alias("department"),
             F.coalesce(x["absolute_url"], x["hostedUrl"], x["jobUrl"], x["careers_url"], x["url"]).alias("url"), F.coalesce(x["publishedAt"], x["published_at"], x["createdAt"], x["updated_at"]).alias("published_at"),
         )
         records = F.filter(F.transform(items, record), lambda r: r["title"].isNotNull() & (r["title"] != ""))
-        ids = F.transform(records, lambda r: F.coalesce(r["posting_id"], F.concat_ws("|", r["title"], r["location"])))
-        once = F.filter(records, lambda r, i: F.array_position(ids, F.coalesce(r["posting_id"], F.concat_ws("|", r["title"], r["location"]))) == i + 1)
+        once = _once(records, lambda rs: _first_of_each(rs, lambda r: F.coalesce(r["posting_id"], F.concat_ws("|", r["title"], r["location"]))))
         return F.when(items.isNotNull(), F.struct(_count(name, F.col("body"), items).cast("int").alias("count"), once.alias("postings")))
 
+    make = lambda name: _once(_items(name, F.col("body")), lambda items: told(name, items))
     out = boards.withColumn("_h", _by_platform(F.col("ats"), make, f"struct<count:int,postings:array<{POSTING}>>"))
     taken = F.col("_h.postings") if limit is None else F.slice("_h.postings", 1, limit)
     out = out.withColumn("count", F.col("_h.count")).withColumn("postings", taken).withColumn("got", F.size(taken))

@@ -29,28 +29,30 @@ def _postings(spark, d):
 
 def _bodies(spark, d):
     """(domain, ats, body): the stored postings of a domain as the JSON of every platform."""
-    p = _postings(spark, d)
-    place = F.struct(F.col("location").alias("name"))
-    label = F.struct(F.col("department").alias("name"))
+    # one aggregate for all platforms, by the id that is the first value of each shape; then each board of each platform goes its own way, for
+    # parsing is far dearer than its bytes show, and a number of partitions that is named is not made smaller
+    p = _postings(spark, d).groupBy("domain").agg(F.sort_array(F.collect_list(F.struct("posting_key", "title", "location", "department"))).alias("rows"))
+    p = p.select("domain", "rows", F.explode(F.array(*[F.lit(x) for x in PLATFORMS])).alias("ats")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "domain", "ats")
+    label = lambda r, name="name": F.struct(r["department"].alias(name))
+    place = lambda r: F.struct(r["location"].alias("name")).alias("location")
+    key = lambda r, name="id": r["posting_key"].alias(name)
     item = {
-        "greenhouse": (F.struct(F.col("posting_key").alias("id"), "title", place.alias("location"), F.array(label).alias("departments")), "jobs"),
-        "lever": (F.struct(F.col("posting_key").alias("id"), F.col("title").alias("text"), F.struct("location", F.col("department").alias("team")).alias("categories")), None),
-        "ashby": (F.struct(F.col("posting_key").alias("id"), "title", "location", F.lit(True).alias("isListed"), F.col("department").alias("departmentName")), "jobs"),
-        "smartrecruiters": (F.struct(F.col("posting_key").alias("id"), F.col("title").alias("name"), place.alias("location"), F.struct(F.col("department").alias("label")).alias("department")), "content"),
-        "workable": (F.struct(F.col("posting_key").alias("shortcode"), "title", "department", "location"), "results"),
-        "recruitee": (F.struct(F.col("posting_key").alias("id"), "title", "department", "location", F.lit("published").alias("status")), "offers"),
-        "pinpoint": (F.struct(F.col("posting_key").alias("id"), F.struct("title", "department", "location").alias("attributes")), "data"),
-        "rippling": (F.struct(F.col("posting_key").alias("uuid"), F.col("title").alias("name"), label.alias("department")), "items"),
-        "breezy": (F.struct(F.col("posting_key").alias("id"), "department", F.col("title").alias("name"), place.alias("location")), None),
-        "workday": (F.struct(F.col("posting_key").alias("id"), "title"), "jobPostings"),
+        "greenhouse": (lambda r: F.struct(key(r), r["title"], place(r), F.array(label(r)).alias("departments")), "jobs"),
+        "lever": (lambda r: F.struct(key(r), r["title"].alias("text"), F.struct(r["location"], r["department"].alias("team")).alias("categories")), None),
+        "ashby": (lambda r: F.struct(key(r), r["title"], r["location"], F.lit(True).alias("isListed"), r["department"].alias("departmentName")), "jobs"),
+        "smartrecruiters": (lambda r: F.struct(key(r), r["title"].alias("name"), place(r), label(r, "label").alias("department")), "content"),
+        "workable": (lambda r: F.struct(key(r, "shortcode"), r["title"], r["department"], r["location"]), "results"),
+        "recruitee": (lambda r: F.struct(key(r), r["title"], r["department"], r["location"], F.lit("published").alias("status")), "offers"),
+        "pinpoint": (lambda r: F.struct(key(r), F.struct(r["title"], r["department"], r["location"]).alias("attributes")), "data"),
+        "rippling": (lambda r: F.struct(key(r, "uuid"), r["title"].alias("name"), label(r).alias("department")), "items"),
+        "breezy": (lambda r: F.struct(key(r), r["department"], r["title"].alias("name"), place(r)), None),
+        "workday": (lambda r: F.struct(key(r), r["title"]), "jobPostings"),
     }
-    out = None
+    body = F.lit(None).cast("string")
     for ats, (shape, at) in item.items():
-        rows = F.array_sort(F.collect_list(shape))
-        body = F.to_json(rows if at is None else F.struct(rows.alias(at)))
-        part = p.groupBy("domain").agg(body.alias("body")).withColumn("ats", F.lit(ats))
-        out = part if out is None else out.unionByName(part)
-    return out
+        rows = F.transform("rows", shape)
+        body = F.when(F.col("ats") == ats, F.to_json(rows if at is None else F.struct(rows.alias(at)))).otherwise(body)
+    return p.select("domain", body.alias("body"), "ats")
 
 
 def platform_counts(spark, d):
