@@ -97,3 +97,9 @@ def test_a_large_board_is_harvested_in_step_with_its_postings(spark):
 def test_stored_postings_are_read_once_for_all_platforms(spark):
     plan = site_queries.harvest_envelopes(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1 and "Union" not in plan and "RepartitionByExpression" in plan
+
+
+def test_postings_are_harvested_once(spark):
+    """No filter below the explosion repeats the parsing."""
+    plan = site_queries.platform_postings(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    assert not [x for x in plan.toString().split("\n") if x.strip(" :+-").startswith("Filter") and "json" in x]
