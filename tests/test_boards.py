@@ -103,3 +103,11 @@ def test_postings_are_harvested_once(spark):
     """No filter below the explosion repeats the parsing."""
     plan = site_queries.platform_postings(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
     assert not [x for x in plan.toString().split("\n") if x.strip(" :+-").startswith("Filter") and "json" in x]
+
+
+def test_the_driver_gives_back_native_memory(spark, monkeypatch):
+    """This box's JVM has the command, and every stored table asks for it."""
+    assert runtime.release_native_memory(spark)
+    asked = []
+    monkeypatch.setattr(runtime, "release_native_memory", asked.append)
+    assert runtime.stored(spark.range(3)).count() == 3 and asked == [spark]
